@@ -10,16 +10,15 @@ from pyspark.sql import functions as F
 HOT_PARTS = 4096
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
-_SPREAD = 1024
 
 
 def attach_by_key(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
     """Left join of ``rows`` to a written per-key ``table`` that knows its counts.
 
     A table of proven small size is broadcast.  Beyond that only the hot keys
-    are (at most ``HOT_PARTS``), and the others, none of them frequent, are
-    shuffled; rows that found a hot key get spread keys so that they do not
-    pile up in one task.  Keys compare null safe.
+    are (at most ``HOT_PARTS``), so their rows are never shuffled; the other
+    rows, none of whose keys is frequent, join by shuffle.  Keys compare null
+    safe.
     """
     facts = table.agg(
         F.count("*").alias("keys"),
@@ -33,20 +32,7 @@ def attach_by_key(rows: DataFrame, table: DataFrame, key: str, count: str) -> Da
         return rows.join(F.broadcast(keyed), same, "left").drop("_k", "_n")
 
     hot = F.col("_n") * HOT_PARTS > facts["rows"]
-    packed = keyed.select("_k", F.struct(*value).alias("_v"), hot.alias("_hot"))
-    hot_side = packed.filter("_hot").select("_k", F.col("_v").alias("_hv"))
-    cold_side = packed.filter("not _hot").select(
-        F.struct(F.lit(0).alias("s"), F.col("_k").alias("k")).alias("_ck"), F.col("_v").alias("_cv")
-    )
-    plain = F.col(key)
-    spread = (F.rand(17) * _SPREAD).cast("int") + 1
-    none = F.lit(None).cast(table.schema[key].dataType)
-    looked = rows.join(F.broadcast(hot_side), same, "left").drop("_k")
-    cold_key = F.when(
-        F.col("_hv").isNull(), F.struct(F.lit(0).alias("s"), plain.alias("k"))
-    ).otherwise(F.struct(spread.alias("s"), none.alias("k")))
-    joined = looked.withColumn("_sk", cold_key).join(
-        cold_side, F.col("_sk").eqNullSafe(F.col("_ck")), "left"
-    )
-    found = F.coalesce(F.col("_hv"), F.col("_cv"))
-    return joined.withColumn("_v", found).select(*rows.columns, *[F.col(f"_v.{c}").alias(c) for c in value])
+    hot_side, cold_side = keyed.filter(hot), keyed.filter(~hot)
+    found = rows.join(F.broadcast(hot_side), same)
+    others = rows.join(F.broadcast(hot_side.select("_k")), same, "left_anti").join(cold_side, same, "left")
+    return found.unionByName(others).drop("_k", "_n")
