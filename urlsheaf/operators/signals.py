@@ -30,7 +30,9 @@ UNDERPERFORMANCE = 0.5
 UNDERPERFORMANCE_RUNS = 5
 GOODPUT_HISTORY = 10
 
-_BY_TIME = W.partitionBy("host").orderBy("interval_start")
+
+def _by_time():
+    return W.partitionBy("host").orderBy("interval_start")
 
 
 def _rtprop() -> Column:
@@ -47,7 +49,7 @@ def ema(df: DataFrame, cols: dict[str, str], alpha: float = ALPHA) -> DataFrame:
     """
     if alpha >= 1.0:
         return df.select(
-            "*", *[F.last(c, ignorenulls=True).over(_BY_TIME).alias(out) for c, out in cols.items()]
+            "*", *[F.last(c, ignorenulls=True).over(_by_time()).alias(out) for c, out in cols.items()]
         )
     keep = 1.0 - alpha
     # powers of 1 / keep must stay well inside the range of doubles
@@ -127,11 +129,11 @@ def rtprop(df: DataFrame, window_seconds: float = RTPROP_WINDOW, reset: bool = F
         ordered = W.partitionBy("host").orderBy(F.col("interval_start").cast("double"))
         lowest = F.min("p10_raw").over(ordered.rangeBetween(-window_seconds, 0))
     known = df.withColumn("_low", F.when(F.col("p10_raw").isNotNull(), lowest))
-    return known.withColumn("rtprop", F.last("_low", ignorenulls=True).over(_BY_TIME)).drop("_low")
+    return known.withColumn("rtprop", F.last("_low", ignorenulls=True).over(_by_time())).drop("_low")
 
 
 def goodput_history(df: DataFrame, n: int = GOODPUT_HISTORY) -> DataFrame:
-    frame = _BY_TIME.rowsBetween(-(n - 1), W.currentRow)
+    frame = _by_time().rowsBetween(-(n - 1), W.currentRow)
     return df.withColumn("goodput_history", F.collect_list("goodput_rps").over(frame))
 
 
@@ -144,7 +146,7 @@ def _slow(theta: tuple[float, float]) -> Column:
 def latency_degraded(df: DataFrame, t50: float = STEADY_THETA[0], t95: float = STEADY_THETA[1]) -> DataFrame:
     """Adds ``degraded`` and ``degraded_start``, its first interval."""
     flagged = df.withColumn("degraded", _slow((t50, t95)))
-    before = F.lag("degraded", 1, False).over(_BY_TIME)
+    before = F.lag("degraded", 1, False).over(_by_time())
     return flagged.withColumn("degraded_start", F.col("degraded") & ~before)
 
 
@@ -156,7 +158,7 @@ def efficiency_plateau(
     df: DataFrame, window: int = EFFICIENCY_WINDOW, threshold: float = EFFICIENCY_THRESHOLD
 ) -> DataFrame:
     """Goodput gained per step is below a share of proportional growth."""
-    past = F.lag("goodput_rps", window).over(_BY_TIME)
+    past = F.lag("goodput_rps", window).over(_by_time())
     past_c = F.col("concurrency") - window
     gain = (F.col("goodput_rps") - past) / window
     flat = (past > 0) & (past_c > 0) & (gain * past_c < past * threshold)
@@ -184,7 +186,7 @@ def underperformance(
     counted = F.col("goodput_rps") >= 1.0
     low = counted & (F.col("goodput_rps") < F.col("concurrency") / _rtprop() * threshold)
     flagged = df.withColumn("_low", low).withColumn("_fine", counted & ~low)
-    upto = _BY_TIME.rowsBetween(W.unboundedPreceding, W.currentRow)
+    upto = _by_time().rowsBetween(W.unboundedPreceding, W.currentRow)
     islands = flagged.withColumn("_island", F.sum(F.col("_fine").cast("int")).over(upto))
     in_island = W.partitionBy("host", "_island").orderBy("interval_start").rowsBetween(W.unboundedPreceding, 0)
     streak = F.sum(F.col("_low").cast("int")).over(in_island)

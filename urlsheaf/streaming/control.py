@@ -10,6 +10,9 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from urlsheaf.operators.control import ADVICE, INPUT, Host, Policy, fold
 
+# Keyed state of this kind is only kept by this state store.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 class ControlProcessor(StatefulProcessor):
     """Keeps one host's control state between micro-batches."""
