@@ -108,7 +108,7 @@ def _sql_rendered(stem: str, url: str) -> str:
     return f"CASE WHEN {suffix} = '' THEN ({named}) || '.jpg' ELSE {named} END"
 
 
-_SEGMENTS = f"list_filter(string_split({sql_path('url')}, '/'), s -> s <> '')"
+_SEGMENTS = f"[s FOR s IN string_split({sql_path('url')}, '/') IF s <> '']"
 _KEYED = "CAST(doc_id AS VARCHAR) || '_' || CASE WHEN len(segs) >= 2 THEN segs[-2] ELSE segs[-1] END"
 
 
@@ -175,7 +175,7 @@ def _(spark, sf):
     return docs(spark, sf).select("doc_id", urls.split_url_ext(F.col("url")).alias("p")).select("doc_id", "p.*")
 
 
-_TRIES = "list_filter(['jpeg', 'jpg', 'png', 'gif'], e -> e <> ext)"
+_TRIES = "[base || '.' || e FOR e IN ['jpeg', 'jpg', 'png', 'gif'] IF e <> ext]"
 
 
 @query(
@@ -183,7 +183,7 @@ _TRIES = "list_filter(['jpeg', 'jpg', 'png', 'gif'], e -> e <> ext)"
     f"""WITH {DOCS}, parts AS (
   SELECT doc_id, url, regexp_extract(url, '{_SHAPE}', 1) AS base, lower(regexp_extract(url, '{_SHAPE}', 2)) AS ext
   FROM docs),
-tries AS (SELECT doc_id, list_concat([url], list_transform({_TRIES}, e -> base || '.' || e)) AS urls
+tries AS (SELECT doc_id, list_concat([url], {_TRIES}) AS urls
           FROM parts WHERE ext <> '')
 SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, urls[i] AS candidate
 FROM (SELECT doc_id, urls, unnest(generate_series(1, len(urls))) AS i FROM tries)""",
@@ -202,8 +202,8 @@ _SIZE_TRIES = "['.JPG', '.jpeg', '.JPEG', '.jpg', '.png', '.gif', '.webp', '.tif
          regexp_extract(url, '^[^?#]*(\?[^#]*)', 1) AS q, regexp_extract(url, '(#.*)$', 1) AS frag
   FROM manifest),
 tries AS (
-  SELECT page_id, list_concat(list_concat([url], list_transform({_SIZE_TRIES},
-           s -> site || regexp_replace(path, '\.[^.]*$', '') || s || q || frag)), [url]) AS urls
+  SELECT page_id, list_concat(list_concat([url], [site || regexp_replace(path, '\.[^.]*$', '') || s || q || frag
+           FOR s IN {_SIZE_TRIES}]), [url]) AS urls
   FROM parts)
 SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, urls[i] AS candidate
 FROM (SELECT page_id, urls, unnest(generate_series(1, len(urls))) AS i FROM tries)""",

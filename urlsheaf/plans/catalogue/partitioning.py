@@ -226,8 +226,7 @@ def _(spark, sf):
     rf"""WITH {DOCS}, {HEAD}, parts AS (
   SELECT doc_id, url, regexp_extract(url, '^(.+)\.([\w\p{{L}}\p{{N}}_]+)$', 1) AS base,
          lower(regexp_extract(url, '^(.+)\.([\w\p{{L}}\p{{N}}_]+)$', 2)) AS ext FROM docs),
-tries AS (SELECT doc_id, list_concat([url], list_transform(list_filter(['jpeg', 'jpg', 'png', 'gif'], e -> e <> ext),
-            e -> base || '.' || e)) AS urls FROM parts WHERE ext <> ''),
+tries AS (SELECT doc_id, list_concat([url], [base || '.' || e FOR e IN ['jpeg', 'jpg', 'png', 'gif'] IF e <> ext]) AS urls FROM parts WHERE ext <> ''),
 each AS (SELECT doc_id, urls, unnest(generate_series(1, len(urls))) AS i FROM tries),
 hits AS (SELECT doc_id, i - 1 AS pos, urls[i] AS candidate FROM each JOIN head ON served = urls[i] WHERE status = 200)
 SELECT doc_id, CAST(min(pos) AS INTEGER) AS pos, arg_min(candidate, pos) AS candidate FROM hits GROUP BY doc_id""",

@@ -103,7 +103,7 @@ def _stored(spark, sf, fmt):
 )
 def _(spark, sf):
     out = scratch_path(spark, "folders")
-    samples.write_imagefolder(_stored(spark, sf, names.IMAGEFOLDER), out)
+    samples.write_imagefolder(_stored(spark, sf, names.IMAGEFOLDER), out, layout_root="out")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(out)
     path = F.regexp_extract("path", r"([^/]+/[^/]+)$", 1)
     return files.filter(~F.col("path").endswith("_SUCCESS")).select(path.alias("path"), "length")
@@ -116,7 +116,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     out = scratch_path(spark, "flat")
-    samples.write_webdataset(_stored(spark, sf, names.WEBDATASET), out)
+    samples.write_webdataset(_stored(spark, sf, names.WEBDATASET), out, layout_root="out")
     sides = spark.read.schema("key string, url string, class_name string").json(f"{out}/*.json")
     sample = F.regexp_extract("_metadata.file_name", r"^(.+)\.json$", 1)
     return sides.select(sample.alias("sample"), "key", "url", "class_name")

@@ -47,6 +47,11 @@ def _r(name: str):
     return F.round(name, 9).alias(name)
 
 
+def _single(name: str):
+    """Single precision, where sums are taken in different orders."""
+    return F.col(name).cast("float").alias(name)
+
+
 def _counted(df):
     return _at(
         df, "total", "n_success", "n_errors", "n_samples", "bytes", "has_overload", _r("goodput_rps"), _r("goodput_bps"),
@@ -107,19 +112,19 @@ _LATENCY = {"p10_raw": "p10", "p50_raw": "p50", "p95_raw": "p95"}
 @query(
     "ema",
     f"""WITH RECURSIVE {METRICS}, {_sql_ema('metrics', _LATENCY, 0.3)}
-SELECT host, {_AT}, round(p10, 9) AS p10, round(p50, 9) AS p50, round(p95, 9) AS p95 FROM smooth""",
+SELECT host, {_AT}, CAST(p10 AS FLOAT) AS p10, CAST(p50 AS FLOAT) AS p50, CAST(p95 AS FLOAT) AS p95 FROM smooth""",
 )
 def _(spark, sf):
-    return _at(signals.ema(_snapshot(spark, sf), _LATENCY), _r("p10"), _r("p50"), _r("p95"))
+    return _at(signals.ema(_snapshot(spark, sf), _LATENCY), _single("p10"), _single("p50"), _single("p95"))
 
 
 @query(
     "avg_size_ema",
     f"""WITH RECURSIVE {METRICS}, {_sql_ema('metrics', {'mean_file_size': 'avg_file_size'}, 0.1)}
-SELECT host, {_AT}, round(avg_file_size, 9) AS avg_file_size FROM smooth""",
+SELECT host, {_AT}, CAST(avg_file_size AS FLOAT) AS avg_file_size FROM smooth""",
 )
 def _(spark, sf):
-    return _at(signals.avg_size_ema(_snapshot(spark, sf)), _r("avg_file_size"))
+    return _at(signals.avg_size_ema(_snapshot(spark, sf)), _single("avg_file_size"))
 
 
 _RTPROP = f"""lowest AS (

@@ -212,15 +212,19 @@ def sample_members(outcomes: DataFrame, out: str, fmt: str = IMAGEFOLDER) -> Dat
     return members.drop("content").select("*", "_m.*").drop("_m")
 
 
-def write_imagefolder(outcomes: DataFrame, out: str, mode: str = "errorifexists") -> None:
-    """``<out>/<label>/<file>``; no shuffle."""
-    members = sample_members(outcomes, out, IMAGEFOLDER).select("path", "content")
+def write_imagefolder(
+    outcomes: DataFrame, out: str, mode: str = "errorifexists", layout_root: str | None = None
+) -> None:
+    """``<out>/<label>/<file>``; no shuffle.  ``layout_root`` is cut from file paths."""
+    members = sample_members(outcomes, layout_root or out, IMAGEFOLDER).select("path", "content")
     save_members(members, MemberFiles, out, mode)
 
 
-def write_webdataset(outcomes: DataFrame, out: str, mode: str = "errorifexists") -> None:
+def write_webdataset(
+    outcomes: DataFrame, out: str, mode: str = "errorifexists", layout_root: str | None = None
+) -> None:
     """``<out>/<file>`` and ``<out>/<stem>.json``; no shuffle."""
-    members = sample_members(outcomes, out, WEBDATASET).select("path", "content")
+    members = sample_members(outcomes, layout_root or out, WEBDATASET).select("path", "content")
     save_members(members, MemberFiles, out, mode)
 
 
