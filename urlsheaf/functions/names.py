@@ -94,7 +94,8 @@ def render_name(pattern: str, url: Column, key: Column) -> Column:
 
     last = F.try_element_at(segments, F.lit(-1))
     fields = {
-        "segment": F.array_join(segments, "_"),
+        # a printed list, once its brackets, quotes and commas are made safe
+        "segment": F.concat(F.lit("_"), F.array_join(segments, "_"), F.lit("_")),
         "segment_last": or_empty(last),
         "segment_parent": or_empty(F.coalesce(F.try_element_at(segments, F.lit(-2)), last)),
         "segment_first": or_empty(F.get(segments, F.lit(0))),

@@ -27,8 +27,8 @@ _SUFFIX = r"(?s)^\.*[^.].*?(\.[^.]*)$"
 
 
 def _one_line(url: Column) -> Column:
-    """URL splitting ignores tabs and line breaks inside a URL."""
-    return F.regexp_replace(url, r"[\t\r\n]", "")
+    """URL splitting ignores leading blanks, and tabs and line breaks anywhere."""
+    return F.regexp_replace(url, r"^[\x00-\x20]+|[\t\r\n]", "")
 
 
 def extract_host(url: Column) -> Column:

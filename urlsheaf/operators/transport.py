@@ -15,7 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,26 +85,16 @@ class TableTransport:
         )
 
     def first_working(self, df: DataFrame, key: str, candidates: str) -> DataFrame:
-        """Adds ``pos, candidate``; later candidates are looked up for misses only."""
+        """Adds ``pos, candidate`` of the first URL that answers with 200."""
         good = self.answers.filter(F.col("status") == 200).select(F.col("url").alias("_u"))
-        head = df.withColumn("_first", F.get(candidates, F.lit(0)))
-        seen = head.join(good, F.col("_first") == F.col("_u"), "left")
-        hit = F.col("_u").isNotNull()
-        served = seen.filter(hit).select(*df.columns, F.lit(0).alias("pos"), F.col("_first").alias("candidate"))
-        missed = seen.filter(~hit).select(*df.columns)
-        others = (
-            missed.select(key, F.posexplode(candidates).alias("pos", "candidate"))
-            .filter("pos > 0")
-            .join(good, F.col("candidate") == F.col("_u"))
-            .withColumn("_ok", F.lit(True))
-        )
-        later = first_working(others, key, "pos", "_ok", "candidate")
-        return served.unionByName(missed.join(later, key, "left"))
+        return _in_two_waves(df, key, candidates, good, F.col("_u").isNotNull())
 
     def first_size(self, df: DataFrame, key: str, candidates: str) -> DataFrame:
-        """Adds ``pos, candidate, size_bytes`` of the first URL that tells its size."""
-        status = F.col("_status")
-        by_head = F.when(status == 200, F.col("_content_length"))
+        """Adds ``pos, candidate, size_bytes`` of the first URL that tells its size.
+
+        The last try accepts a plain answer only for images.
+        """
+        by_head = F.when(F.col("_status") == 200, F.col("_content_length"))
         by_range = F.when(F.col("_range_status").isin(200, 206), content_range_total(F.col("_content_range")))
         looked = self.answers.select(
             F.col("url").alias("_u"),
@@ -118,14 +108,32 @@ class TableTransport:
             F.coalesce(by_head, by_range).alias("_any"),
             F.coalesce(F.when(F.col("_content_type").contains("image"), by_head), by_range).alias("_image"),
         )
-        final = F.col("pos") == F.col("_last")
-        tried = (
-            df.select(key, (F.size(candidates) - 1).alias("_last"), F.posexplode(candidates).alias("pos", "candidate"))
-            .join(looked, F.col("candidate") == F.col("_u"))
-            .withColumn("size_bytes", F.when(final, F.col("_image")).otherwise(F.col("_any")))
-            .withColumn("_ok", F.col("size_bytes").isNotNull())
-        )
-        return df.join(first_working(tried, key, "pos", "_ok", "candidate", "size_bytes"), key, "left")
+        size = F.when(F.col("pos") == F.col("_last"), F.col("_image")).otherwise(F.col("_any"))
+        told = looked.filter(F.col("_any").isNotNull())
+        return _in_two_waves(df, key, candidates, told, size.isNotNull(), size_bytes=size)
+
+
+def _in_two_waves(
+    df: DataFrame, key: str, candidates: str, answers: DataFrame, ok: Column, **values: Column
+) -> DataFrame:
+    """First ok candidate of each row: the first URL of every row is looked up,
+    the further ones only for rows it failed for."""
+    names = ["pos", "candidate", *values]
+    computed = [v.alias(k) for k, v in values.items()]
+    last = (F.size(candidates) - 1).alias("_last")
+    head = df.select("*", last, F.lit(0).alias("pos"), F.get(candidates, F.lit(0)).alias("candidate"))
+    seen = head.join(answers, F.col("candidate") == F.col("_u"), "left").withColumn("_ok", ok)
+    served = seen.filter("_ok").select(*df.columns, "pos", "candidate", *computed)
+    missed = seen.filter("not _ok").select(*df.columns)
+    others = (
+        missed.select(key, last, F.posexplode(candidates).alias("pos", "candidate"))
+        .filter("pos > 0")
+        .join(answers, F.col("candidate") == F.col("_u"))
+        .withColumn("_ok", ok)
+        .select(key, "pos", "candidate", "_ok", *computed)
+    )
+    later = first_working(others, key, "pos", "_ok", *names[1:])
+    return served.unionByName(missed.join(later, key, "left").select(*df.columns, *names))
 
 
 def requests_session():
