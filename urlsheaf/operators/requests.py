@@ -19,6 +19,8 @@ from urlsheaf.operators.joins import attach_by_key
 from urlsheaf.session import materialise
 
 ROWS_PER_SLICE = 100_000
+# Beyond this the scheduler suffers; tasks then serve several slices in turn.
+MAX_TASKS = 100_000
 
 
 def plan_requests(
@@ -55,14 +57,18 @@ def plan_requests(
     )
 
 
-def slice_by_host(requests: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def slice_by_host(requests: DataFrame, rows_per_slice: int = ROWS_PER_SLICE, key: str = "row_key") -> DataFrame:
     """Lay requests out by host, at most about ``rows_per_slice`` to a slice.
 
     Adds ``host_slices``, by which a fetch divides the cap of a host that is
-    served by several tasks.
+    served by several tasks.  The number of tasks is stated, as adaptive
+    coalescing goes by bytes and would put a whole small manifest in one.
     """
     counts = materialise(requests.groupBy("host").agg(F.count("*").alias("_rows")), "hosts")
     sized = counts.withColumn("host_slices", F.ceil(F.col("_rows") / rows_per_slice).cast("int"))
+    rows = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    parallelism = requests.sparkSession.sparkContext.defaultParallelism
+    tasks = min(max(parallelism, -(-rows // rows_per_slice)), MAX_TASKS)
     looked = attach_by_key(requests, sized, "host", "_rows")
-    part = F.pmod(F.xxhash64("row_key"), F.col("host_slices"))
-    return looked.withColumn("_slice", part).repartition("host", "_slice").drop("_slice")
+    part = F.pmod(F.xxhash64(key), F.col("host_slices"))
+    return looked.withColumn("_slice", part).repartition(tasks, "host", "_slice").drop("_slice")

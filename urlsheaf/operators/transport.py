@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urlsheaf.functions.status import REQUEST_TIMEOUT, content_range_total, parse_retry_after
+from urlsheaf.functions.urls import extract_host
 from urlsheaf.operators.requests import ROWS_PER_SLICE, slice_by_host
 
 ANSWER = T.StructType(
@@ -175,16 +176,18 @@ class HttpTransport:
 
     def first_working(self, df: DataFrame, key: str, candidates: str) -> DataFrame:
         ask = _Asker(self)
-        return self._first(df, candidates, "pos int, candidate string", ask.working)
+        return self._first(df, key, candidates, "pos int, candidate string", ask.working)
 
     def first_size(self, df: DataFrame, key: str, candidates: str) -> DataFrame:
         ask = _Asker(self)
-        return self._first(df, candidates, "pos int, candidate string, size_bytes long", ask.size)
+        return self._first(df, key, candidates, "pos int, candidate string, size_bytes long", ask.size)
 
-    def _first(self, df: DataFrame, candidates: str, added: str, attempt: Callable) -> DataFrame:
+    def _first(self, df: DataFrame, key: str, candidates: str, added: str, attempt: Callable) -> DataFrame:
         ask = _Asker(self)
         extra = T.StructType.fromDDL(added)
-        schema = T.StructType(df.schema.fields + extra.fields)
+        hosted = df if "host" in df.columns else df.withColumn("host", extract_host(F.get(candidates, F.lit(0))))
+        laid = slice_by_host(hosted, self.rows_per_slice, key)
+        schema = T.StructType(laid.schema.fields + extra.fields)
 
         def try_in_order(row):
             urls = list(row[0]) if row[0] is not None else []
@@ -195,15 +198,14 @@ class HttpTransport:
             return (None,) * len(extra)
 
         def answer(batch: pd.DataFrame, caps: pd.Series) -> pd.DataFrame:
-            hosts = pd.Series("", index=batch.index)
-            got = ask.each(try_in_order, list(zip(batch[candidates])), hosts, caps + self.concurrency)
+            got = ask.each(try_in_order, list(zip(batch[candidates])), batch["host"], caps)
             columns = pd.DataFrame(got, columns=extra.fieldNames(), index=batch.index)
             for name, dtype in (("pos", "Int32"), ("size_bytes", "Int64")):
                 if name in columns:
                     columns[name] = columns[name].astype(dtype)
             return pd.concat([batch, columns], axis=1)
 
-        return df.mapInPandas(_by_pieces(self, answer), schema)
+        return laid.mapInPandas(_by_pieces(self, answer), schema).select(*df.columns, *extra.fieldNames())
 
 
 def _by_pieces(transport: HttpTransport, answer: Callable) -> Callable:
