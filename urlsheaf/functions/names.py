@@ -7,7 +7,7 @@ from string import Formatter
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from urlsheaf.functions.text import strip
+from urlsheaf.functions.text import nonempty, strip
 from urlsheaf.functions.urls import DEFAULT_SUFFIX, extract_extension, url_path
 
 # Folder for rows without a label, for not-a-number labels, name
@@ -37,16 +37,16 @@ def sanitize_label(label: Column, floating: bool = False) -> Column:
 def sanitize_filename(name: Column, max_len: int = MAX_NAME) -> Column:
     """Keep letters, digits, dot, dash and underscore; squeeze the rest."""
     safe = F.regexp_replace(strip(name), r"[^A-Za-z0-9.\-]+", "_")
-    bare = F.regexp_replace(safe, r"^[._]+|[._]+$", "")
-    return F.when(bare == "", F.lit(EMPTY_NAME)).otherwise(F.left(bare, F.lit(max_len)))
+    bare = F.btrim(safe, F.lit("._"))
+    return F.left(F.coalesce(nonempty(bare), F.lit(EMPTY_NAME)), F.lit(max_len))
 
 
 def sequential_name(idx: Column, url: Column, default_ext: str = DEFAULT_SUFFIX) -> Column:
     """Eight-digit running number, counted from one, plus the URL's extension."""
-    ext = extract_extension(url)
+    ext = F.coalesce(nonempty(extract_extension(url)), F.lit(default_ext))
     number = (idx.cast("long") + 1).cast("string")
     padded = F.when(F.length(number) < 8, F.lpad(number, 8, "0")).otherwise(number)
-    return F.concat(padded, F.when(ext != "", ext).otherwise(F.lit(default_ext)))
+    return F.concat(padded, ext)
 
 
 def _name_suffix(path: Column) -> Column:

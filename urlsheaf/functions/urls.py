@@ -12,7 +12,7 @@ from urllib.parse import uses_params
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urlsheaf.functions.text import nonempty, strip
+from urlsheaf.functions.text import bind, nonempty, strip
 
 # Result for URLs without a host, default image suffixes, the
 # suffixes tried when a size is looked up, and those tried in a repair.
@@ -24,20 +24,27 @@ REPAIR_EXTENSIONS = ("jpeg", "jpg", "png", "gif")
 _SCHEME = r"(?:[A-Za-z][A-Za-z0-9+.\-]*:)?"
 _HEAD = rf"(?s)^{_SCHEME}(?://[^/?#]*)?"
 _SUFFIX = r"(?s)^\.*[^.].*?(\.[^.]*)$"
+# the same on a whole URL: of its path, and of all text before a query
+_PATH_SUFFIX = rf"(?s)^(?:{_SCHEME})?+(?://[^/?#]*+)?+(?:[^?#]*/)?+\.*[^./?#][^/?#]*?(\.[^./?#]*)(?=[?#]|$)"
+_TEXT_SUFFIX = r"(?s)^(?:[^?]*/)?+\.*[^./?][^/?]*?(\.[^./?]*)(?=\?|$)"
+# square brackets only as a whole, bracketed address
+_AUTHORITY = r"(?:[^/?#\[\]]*@)?\[[^/?#\[\]]*\](?::[^/?#\[\]]*)?|[^/?#\[\]]*"
+# space and control characters, which URL splitting ignores at the start
+_LEADING = "".join(map(chr, range(33)))
 
 
 def _one_line(url: Column) -> Column:
     """URL splitting ignores leading blanks, and tabs and line breaks anywhere."""
-    return F.regexp_replace(url, r"^[\x00-\x20]+|[\t\r\n]", "")
+    flat = F.ltrim(url, F.lit(_LEADING))
+    broken = flat.contains("\t") | flat.contains("\r") | flat.contains("\n")
+    return F.when(broken, F.translate(flat, "\t\r\n", "")).otherwise(flat)
 
 
 def extract_host(url: Column) -> Column:
     """Authority in lower case, with user info and port; else ``unknown``."""
     flat = _one_line(strip(url))
-    host = F.regexp_extract(flat, rf"^{_SCHEME}//([^/?#]*)", 1)
-    lopsided = host.contains("[") != host.contains("]")
-    usable = host.isNotNull() & (host != "") & ~lopsided
-    return F.when(usable, F.lower(host)).otherwise(F.lit(UNKNOWN_HOST))
+    host = F.regexp_extract(flat, rf"^{_SCHEME}//({_AUTHORITY})(?=[/?#]|$)", 1)
+    return F.coalesce(nonempty(F.lower(host)), F.lit(UNKNOWN_HOST))
 
 
 def naive_host(url: Column) -> Column:
@@ -67,18 +74,17 @@ def suffix_of(path: Column) -> Column:
 
 def extract_extension(url: Column) -> Column:
     """Suffix of the path, else of the URL before its query, else empty."""
-    in_path = suffix_of(url_path(url, drop_params=True))
-    before_query = F.regexp_extract(url, r"(?s)^([^?]*)", 1)
-    return F.when(in_path != "", in_path).otherwise(suffix_of(before_query))
+    flat = _one_line(url)
+    plain = F.regexp_extract(flat, _PATH_SUFFIX, 1)
+    in_path = F.when(flat.contains(";"), suffix_of(url_path(url, drop_params=True))).otherwise(plain)
+    return F.coalesce(nonempty(in_path), F.regexp_extract(url, _TEXT_SUFFIX, 1))
 
 
 def url_name(url: Column, default_ext: str = DEFAULT_SUFFIX) -> Column:
     """File name taken from the URL: last path segment plus extension."""
-    path = url_path(url, drop_params=True)
-    last = _last_segment(path)
-    stem = F.left(last, F.length(last) - F.length(suffix_of(path)))
-    ext = extract_extension(url)
-    return F.concat(stem, F.when(ext != "", ext).otherwise(F.lit(default_ext)))
+    last = _last_segment(url_path(url, drop_params=True))
+    stem = bind(last, lambda name: F.left(name, F.length(name) - F.length(F.regexp_extract(name, _SUFFIX, 1))))
+    return F.concat(stem, F.coalesce(nonempty(extract_extension(url)), F.lit(default_ext)))
 
 
 def split_url_ext(url: Column) -> Column:
@@ -91,35 +97,48 @@ def split_url_ext(url: Column) -> Column:
 
 
 def repair_urls(url: Column, exts=REPAIR_EXTENSIONS) -> Column:
-    """Array of URLs to try in order: the URL, then its base with each suffix."""
-    parts = split_url_ext(url)
+    """Array of URLs to try in order: the URL, then its base with each suffix.
+
+    Empty for a URL without an extension.
+    """
     listed = F.array(*[F.lit(e) for e in exts])
-    others = F.filter(listed, lambda e: F.lower(e) != parts["ext"])
-    tried = F.transform(others, lambda e: F.concat(parts["base"], F.lit("."), e))
-    return F.when(parts["ext"].isNotNull(), F.concat(F.array(url), tried)).otherwise(
-        F.array().cast("array<string>")
-    )
 
+    def tries(parts: Column) -> Column:
+        others = F.filter(listed, lambda e: F.lower(e) != parts["ext"])
+        return F.concat(F.array(url), F.transform(others, lambda e: F.concat(parts["base"], F.lit("."), e)))
 
-def _with_suffix(url: Column, suffix: Column) -> Column:
-    """Replace everything after the path's last dot, keep query and fragment."""
-    flat = _one_line(url)
-    shape = r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
+    return bind(
+        split_url_ext(url),
+        lambda parts: F.when(parts["ext"].isNotNull(), tries(parts)).otherwise(F.array().cast("array<string>")),
+    )
 
-    def part(i: int) -> Column:
-        return F.regexp_extract(flat, shape, i)
 
-    path = F.concat(F.regexp_replace(part(3), r"(?s)\.[^.]*$", ""), suffix)
-    rooted = F.when((part(2) != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
-    query = F.when(part(4) != "?", part(4)).otherwise("")
-    fragment = F.when(part(5) != "#", part(5)).otherwise("")
-    return F.concat(F.lower(part(1)), part(2), rooted, query, fragment)
+_SHAPE = r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
 def size_urls(url: Column, suffixes=SIZE_SUFFIXES) -> Column:
-    """Array of URLs tried for a size: as is, each suffix, then as is again."""
+    """Array of URLs tried for a size: as is, each suffix, then as is again.
+
+    A suffix replaces everything after the path's last dot; query and fragment
+    stay.
+    """
+    flat = _one_line(url)
+    parts = F.struct(*[F.regexp_extract(flat, _SHAPE, i + 1).alias(p) for i, p in enumerate("snpqf")])
     listed = F.array(*[F.lit(s) for s in suffixes])
-    return F.concat(F.array(url), F.transform(listed, lambda s: _with_suffix(url, s)), F.array(url))
+
+    def ends(p: Column) -> Column:
+        base = F.regexp_replace(p["p"], r"(?s)\.[^.]*$", "")
+        root = F.when((p["n"] != "") & ~p["p"].startswith("/"), F.lit("/")).otherwise(F.lit(""))
+        query = F.when(p["q"] != "?", p["q"]).otherwise(F.lit(""))
+        fragment = F.when(p["f"] != "#", p["f"]).otherwise(F.lit(""))
+        return F.struct(
+            F.concat(F.lower(p["s"]), p["n"], root, base).alias("head"), F.concat(query, fragment).alias("tail")
+        )
+
+    def tries(e: Column) -> Column:
+        return F.transform(listed, lambda s: F.concat(e["head"], s, e["tail"]))
+
+    return F.concat(F.array(url), bind(bind(parts, ends), tries), F.array(url))
 
 
 def valid_url(url: Column) -> Column:

@@ -48,6 +48,11 @@ def prefix_sums(df: DataFrame, order_by: list[Column], value: str | None, out: s
     chunks.  ``order_by`` must be unique for the result to be reproducible;
     a unique tie breaker also lets a frequent first key spread over chunks.
     """
+    return _running(df, order_by, value, out)[0]
+
+
+def _running(df: DataFrame, order_by: list[Column], value: str | None, out: str) -> tuple[DataFrame, int]:
+    """Running sums and the number of rows, which the written files know."""
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = materialise(
@@ -63,11 +68,8 @@ def prefix_sums(df: DataFrame, order_by: list[Column], value: str | None, out: s
         local = F.row_number().over(inside) - 1
     else:
         local = F.coalesce(F.sum(value).over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return (
-        ranged.join(offsets, _CHUNK)
-        .withColumn(out, (F.col(_BASE) + local).cast("long"))
-        .drop(_CHUNK, _BASE)
-    )
+    summed = ranged.join(offsets, _CHUNK).withColumn(out, (F.col(_BASE) + local).cast("long"))
+    return summed.drop(_CHUNK, _BASE), ranged.count()
 
 
 def _position_cells(placed: DataFrame, *keys: str) -> DataFrame:
@@ -84,8 +86,8 @@ def indexed(df: DataFrame, out: str = "row_idx", order_by=None) -> tuple[DataFra
     """``df`` with a 0-based global index, and the number of rows."""
     if order_by is not None:
         order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-        numbered = prefix_sums(df, order, None, out)
-        return numbered, numbered.count()
+        numbered, total = _running(df, order, None, out)
+        return numbered, total
     placed = with_position(df)
     cells = _position_cells(placed)
     facts = cells.agg(

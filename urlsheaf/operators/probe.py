@@ -17,7 +17,9 @@ CORRECTED = "corrected"
 NOT_FOUND = "not_found"
 NO_EXTENSION = "no_extension"
 
-BATCHES_PER_WAVE = 64
+# A probe is committed in at most this many waves of whole batches.
+MAX_WAVES = 100
+MIN_BATCHES_PER_WAVE = 64
 
 
 def pending_batches(df: DataFrame, done: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def probe_extensions(
     batch_size: int = 500_000,
     checkpoint: str | None = None,
     idx: str | None = None,
-    batches_per_wave: int = BATCHES_PER_WAVE,
+    batches_per_wave: int | None = None,
 ) -> DataFrame:
     """Probe result per row; resumable with a ``checkpoint`` folder.
 
@@ -81,6 +83,8 @@ def probe_extensions(
     if facts["last"] is None:
         return _probe(work, transport, exts)
     done = completed_batches(spark, target)
+    if batches_per_wave is None:
+        batches_per_wave = max(MIN_BATCHES_PER_WAVE, facts["last"] // MAX_WAVES + 1)
     waves = pending_batches(
         spark.range(facts["last"] + 1).withColumnRenamed("id", "batch_idx"), done
     ).select(F.col("batch_idx").cast("long"))

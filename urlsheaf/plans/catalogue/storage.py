@@ -173,7 +173,7 @@ def _(spark, sf):
 @query("completed_batches", "SELECT DISTINCT doc_id // 256 AS batch_idx FROM documents")
 def _(spark, sf):
     path = scratch_path(spark, "checkpoints")
-    probed(spark, sf, checkpoint=path, batches_per_wave=2)
+    probed(spark, sf, checkpoint=path)
     return completed_batches(spark, path)
 
 
