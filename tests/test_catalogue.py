@@ -4,6 +4,7 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from conftest import DATA
@@ -21,10 +22,9 @@ def twin():
 
 
 def plain(value):
-    value = value.item() if hasattr(value, "item") else value
-    if value is None or value != value:
+    if pd.isna(value):
         return None
-    return value
+    return value.item() if hasattr(value, "item") else value
 
 
 def rows(frame):

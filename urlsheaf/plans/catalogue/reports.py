@@ -27,10 +27,11 @@ def _(spark, sf):
 
 @query(
     "error_breakdown",
-    f"WITH {OUTCOMES} SELECT status_code, error, count(*) AS n FROM outcomes WHERE NOT success GROUP BY 1, 2",
+    f"WITH {OUTCOMES} SELECT coalesce(status_code, 0) AS status_code, error, count(*) AS n FROM outcomes WHERE NOT success GROUP BY 1, 2",
 )
 def _(spark, sf):
-    return outcomes.error_breakdown(outcome_rows(spark, sf))
+    counted = outcomes.error_breakdown(outcome_rows(spark, sf))
+    return counted.withColumn("status_code", F.coalesce("status_code", F.lit(0)))
 
 
 @query(

@@ -56,13 +56,14 @@ def _(spark, sf):
 
 @query(
     "read_manifest_dir",
-    f"WITH {DOCS}, {MANIFEST} SELECT url, label, n_chars FROM docs UNION ALL SELECT url, label, NULL FROM manifest",
+    f"WITH {DOCS}, {MANIFEST} SELECT url, label, n_chars FROM docs UNION ALL SELECT url, label, -1 FROM manifest",
 )
 def _(spark, sf):
     path = scratch_path(spark, "manifests")
     docs(spark, sf).select("url", "label", "n_chars").write.parquet(path)
     manifest(spark, sf).select("label", "url").write.mode("append").parquet(path)
-    return read_manifest_dir(spark, path).select("url", "label", "n_chars")
+    merged = read_manifest_dir(spark, path)
+    return merged.select("url", "label", F.coalesce("n_chars", F.lit(-1)).alias("n_chars"))
 
 
 @query("read_partitions", 'SELECT doc_id, CAST(ntile(7) OVER (ORDER BY doc_id) AS INTEGER) AS "group" FROM documents')
