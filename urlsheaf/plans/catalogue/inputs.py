@@ -136,7 +136,7 @@ def sql_pack(counts: str, key: str, n: int) -> str:
     """CTEs that pack ``counts(key, n_rows)`` into ``packed(key, n_rows, group)``."""
     zeros = ", ".join(["0::BIGINT"] * n)
     lightest = "list_position(p.sums, list_min(p.sums))"
-    return f"""ranked AS (
+    return f"""ranked AS MATERIALIZED (
   SELECT {key}, n_rows, row_number() OVER (ORDER BY n_rows DESC, {key}) AS rn FROM {counts}),
 pack AS (
   SELECT 0::BIGINT AS rn, CAST(NULL AS VARCHAR) AS {key}, 0::BIGINT AS n_rows, 0::BIGINT AS bin, [{zeros}] AS sums

@@ -193,7 +193,7 @@ def _(spark, sf):
   SELECT n_nationkey % 5 AS k, CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE 'label ' || n_nationkey % 5 END AS label,
          count(*) AS n_rows
   FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2),
-ranked AS (SELECT label, n_rows, row_number() OVER (ORDER BY n_rows DESC, label NULLS FIRST) AS rn FROM counts),
+ranked AS MATERIALIZED (SELECT label, n_rows, row_number() OVER (ORDER BY n_rows DESC, label NULLS FIRST) AS rn FROM counts),
 pack AS (
   SELECT 0::BIGINT AS rn, CAST(NULL AS VARCHAR) AS label, 0::BIGINT AS bin, [0::BIGINT, 0::BIGINT] AS sums
   UNION ALL

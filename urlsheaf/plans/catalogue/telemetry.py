@@ -99,7 +99,7 @@ def _sql_ema(source: str, cols: dict[str, str], alpha: float) -> str:
         for c, out in cols.items()
     )
     first = ", ".join(f"CAST({c} AS DOUBLE) AS {out}" for c, out in cols.items())
-    return f"""ordered AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY interval_start) AS rn FROM {source}),
+    return f"""ordered AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY host ORDER BY interval_start) AS rn FROM {source}),
 smooth AS (
   SELECT host, interval_start, rn, {first} FROM ordered WHERE rn = 1
   UNION ALL
