@@ -129,6 +129,14 @@ def test_http_outcomes(spark):
     }
 
 
+def test_host_caps_survive_retries(spark, folder):
+    wanted = requests_for(spark, [f"http://h{i}.org/busy" for i in range(4)])
+    capped = wanted.withColumn("host_cap", F.when(F.col("row_key") < "2", 1))
+    got = fetching.fetch_with_retry(capped, HttpTransport(session=Site), 2, backoff=0.0)
+    assert got.filter("attempt = 2 and status_code = 503").count() == 4
+    assert got.filter("host_cap = 1").count() == 2
+
+
 def test_slices_of_a_hot_host(spark):
     urls = [f"http://hot.org/{i}" for i in range(300)] + [f"http://h{i}.org/x" for i in range(20)]
     laid = slice_by_host(requests_for(spark, urls), rows_per_slice=40)

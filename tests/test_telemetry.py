@@ -260,6 +260,30 @@ def test_backoff():
     assert (h.c, h.ceiling) == (2, 2)
 
 
+def test_variant_for_thread_pools():
+    p = control.THREADED
+    h = host(state=STARTUP, c=40)
+    advance(h, seen(), 10, p)
+    assert h.c == 50
+    advance(h, seen(overload=True), 20, p)
+    assert (h.ceiling, h.c) == (49, 41)
+    h.c = 30
+    advance(h, seen(), 60, p)
+    assert (h.state, h.c) == (PROBE_BW, 30)
+    h.c = 300
+    advance(h, seen(rps=1e6), 61, p)
+    assert h.c == 306
+
+
+def test_advice_reaches_requests(spark):
+    advice = spark.createDataFrame(
+        [("a", START, 5), ("a", START + timedelta(seconds=10), 9)], "host string, interval_start timestamp, concurrency int"
+    )
+    wanted = spark.createDataFrame([("a",), ("b",)], "host string")
+    got = control.with_host_caps(wanted, advice)
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 9), ("b", None)]
+
+
 def test_rtprop_gate():
     p = Policy(rtprop_window=35, probe_period=1e9)
     h = host(state=PROBE_BW, ceiling=100, c=50, operating=50)

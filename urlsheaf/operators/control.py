@@ -13,6 +13,7 @@ from dataclasses import asdict, dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from urlsheaf.operators.signals import ALPHA, DEFAULT_RTPROP, GOODPUT_HISTORY
 
@@ -68,6 +69,10 @@ class Policy:
     revision: float = 0.99
     alpha: float = ALPHA
     rtprop_window: float = 35.0
+    # variants: grow by a share, cut by one at first, keep concurrency on recovery
+    steady_share: float = 0.0
+    startup_cut_one: bool = False
+    keep_on_recovery: bool = False
 
     def clamp(self, c: int) -> int:
         return min(max(c, self.c_min), self.c_max)
@@ -75,6 +80,16 @@ class Policy:
     def shrink(self, c: int) -> int:
         return max(self.c_min, int(c * self.beta))
 
+    def first_cut(self, c: int) -> int:
+        return max(self.c_min, c - 1) if self.startup_cut_one else self.shrink(c)
+
+    def steady_growth(self, c: int) -> int:
+        return max(1, int(c * self.steady_share)) if self.steady_share else self.steady_step
+
+
+# The variant for thread pools.
+THREADED = Policy(startup_step=10, steady_share=0.02, startup_cut_one=True, keep_on_recovery=True)
+
 
 @dataclass
 class Host:
@@ -179,7 +194,7 @@ def _in_init(h: Host, seen: dict, now: float, policy: Policy) -> str:
 
 def _in_startup(h: Host, seen: dict, now: float, policy: Policy) -> str:
     if seen["has_overload"]:
-        _operate(h, policy, policy.shrink(h.c))
+        _operate(h, policy, policy.first_cut(h.c))
         _cool(h, seen, now, policy)
         h.state = BACKOFF
         return "overload"
@@ -216,7 +231,7 @@ def _in_probe_bw(h: Host, seen: dict, now: float, policy: Policy) -> str:
         h.ceiling, h.operating = h.c, int(h.c * policy.mu)
     reason = "revised" if _underperforms(h, seen, policy) else "grow"
     if h.c < policy.c_max:
-        h.c = policy.clamp(h.c + policy.steady_step)
+        h.c = policy.clamp(h.c + policy.steady_growth(h.c))
     return reason
 
 
@@ -268,9 +283,10 @@ def _in_backoff(h: Host, seen: dict, now: float, policy: Policy) -> str:
         return "overload"
     if now < h.cool_until:
         return "cooling"
-    if h.ceiling is not None:
-        h.operating = int(h.ceiling * policy.mu)
-    h.c = policy.clamp(h.operating)
+    if not policy.keep_on_recovery:
+        if h.ceiling is not None:
+            h.operating = int(h.ceiling * policy.mu)
+        h.c = policy.clamp(h.operating)
     _steady(h, now)
     return "recovered"
 
@@ -337,3 +353,12 @@ def recommend_concurrency(metrics: DataFrame, policy: Policy = Policy()) -> Data
 
     ordered = metrics.select(*INPUT).repartition("host").sortWithinPartitions("host", "interval_start")
     return ordered.groupBy("host").applyInPandas(run, ADVICE)
+
+
+def with_host_caps(requests: DataFrame, advice: DataFrame) -> DataFrame:
+    """Requests with ``host_cap``, the latest advised concurrency of their host.
+
+    Hosts without advice keep a null cap, and the transport's own one applies.
+    """
+    latest = advice.groupBy("host").agg(F.max_by("concurrency", "interval_start").alias("host_cap"))
+    return requests.join(latest, "host", "left")

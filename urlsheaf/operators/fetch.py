@@ -44,7 +44,7 @@ def fetch(
     wait = F.col("retry_after")
     if retry_after_status is not None:
         wait = F.when(F.col("status_code") == retry_after_status, wait)
-    kept = [c for c in ("group",) if c in requests.columns]
+    kept = [c for c in ("group", "host_cap") if c in requests.columns]
     return got.select(
         "row_key",
         "url",

@@ -43,7 +43,8 @@ def _interval_seconds() -> Column:
 def _counts(success_rule: str) -> list[Column]:
     failed = _failed(success_rule)
     size = F.when(~failed, F.coalesce(F.col("bytes"), F.lit(0)))
-    asked = F.when(F.col("retry_after").isNotNull(), F.struct("ts", "retry_after"))
+    # fixed-width buffers only, so that the aggregation stays a hash aggregation
+    asked = F.max_by("retry_after", F.when(F.col("retry_after").isNotNull(), F.col("ts")))
     return [
         F.count("*").alias("total"),
         F.count_if(~failed).alias("n_success"),
@@ -51,7 +52,7 @@ def _counts(success_rule: str) -> list[Column]:
         F.count(_sample(success_rule)).alias("n_samples"),
         F.coalesce(F.sum(size), F.lit(0)).alias("bytes"),
         F.count(F.when(size > 0, size)).alias("_files"),
-        F.max(asked).alias("_asked"),
+        asked.alias("retry_after"),
     ]
 
 
@@ -70,7 +71,7 @@ def _metric_columns(*extra: str) -> list:
         (F.col("n_success") / secs).alias("goodput_rps"),
         (F.col("bytes") / secs).alias("goodput_bps"),
         secs.alias("duration"),
-        F.col("_asked.retry_after").alias("retry_after"),
+        "retry_after",
         F.when(F.col("_files") > 0, F.col("bytes") / F.col("_files")).alias("mean_file_size"),
         *extra,
     ]

@@ -130,11 +130,13 @@ def _in_two_waves(
         missed.select(key, last, F.posexplode(candidates).alias("pos", "candidate"))
         .filter("pos > 0")
         .join(answers, F.col("candidate") == F.col("_u"))
-        .withColumn("_ok", ok)
-        .select(key, "pos", "candidate", "_ok", *computed)
+        .filter(ok)
+        .select(key, "pos", *computed)
     )
-    later = first_working(others, key, "pos", "_ok", *names[1:])
-    return served.unionByName(missed.join(later, key, "left").select(*df.columns, *names))
+    # numbers only in the aggregation; the URL is looked up by its rank
+    later = others.groupBy(key).agg(F.min("pos").alias("pos"), *[F.min_by(v, "pos").alias(v) for v in values])
+    found = missed.join(later, key, "left").withColumn("candidate", F.get(candidates, F.col("pos")))
+    return served.unionByName(found.select(*df.columns, *names))
 
 
 def requests_session():
@@ -216,8 +218,8 @@ def _by_pieces(transport: HttpTransport, answer: Callable) -> Callable:
             for start in range(0, len(pdf), transport.rows_per_yield):
                 piece = pdf.iloc[start : start + transport.rows_per_yield]
                 slices = piece["host_slices"] if "host_slices" in piece else pd.Series(1, index=piece.index)
-                cap = piece["host_cap"] if "host_cap" in piece else transport.per_host
-                yield answer(piece, (cap // slices).clip(lower=1))
+                caps = piece["host_cap"].fillna(transport.per_host) if "host_cap" in piece else transport.per_host
+                yield answer(piece, (caps // slices).clip(lower=1))
 
     return run
 

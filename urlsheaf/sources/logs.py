@@ -32,22 +32,24 @@ def read_performance_log(spark: SparkSession, path: str) -> DataFrame:
     lines = _lines(spark, [path])
     starts = lines.filter(F.col("line_no.block") == 0)
     headers = starts.groupBy("file").agg(F.min_by("value", "line_no").alias("header"))
-    layouts = headers.groupBy("header").agg(F.collect_list("file").alias("files"), F.count("*").alias("n"))
-    found = layouts.limit(MAX_LAYOUTS + 1).collect()
+    found = [r["header"] for r in headers.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
     if not found:
         raise ValueError(f"no performance log at {path}")
     if len(found) > MAX_LAYOUTS:
         raise ValueError(f"more than {MAX_LAYOUTS} different headers at {path}")
     parts = []
-    for layout in found:
-        names = layout["header"].strip().lstrip("# ").split()
+    for header in found:
+        names = header.strip().lstrip("# ").split()
         missing = [c for c in REQUIRED if c not in names]
         if missing:
             raise ValueError(f"missing required column(s) {', '.join(missing)} in performance log")
-        source = lines if len(found) == 1 else _lines(spark, layout["files"])
+        source = lines
+        if len(found) > 1:
+            files = headers.filter(F.col("header") == header).select("file").collect()
+            source = _lines(spark, [r["file"] for r in files])
         fields = F.split(F.trim("value"), r"\s+")
         parts.append(
-            source.filter(F.col("value") != layout["header"])
+            source.filter(F.col("value") != header)
             .filter(F.trim("value") != "")
             .select(
                 "file",
