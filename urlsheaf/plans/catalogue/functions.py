@@ -52,7 +52,7 @@ def _(spark, sf):
     return manifests.add_row_key(cleaned).select("doc_id", "row_key")
 
 
-@query("extract_host", f"WITH {LINKS} SELECT page_id, pos, {sql_host('url')} AS host FROM links")
+@query("extract_host", f"WITH {LINKS} SELECT page_id, CAST(pos AS INTEGER) AS pos, {sql_host('url')} AS host FROM links")
 def _(spark, sf):
     return links(spark, sf).select("page_id", "pos", urls.extract_host(F.col("url")).alias("host"))
 

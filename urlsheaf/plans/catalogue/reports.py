@@ -17,7 +17,7 @@ _OK = "count(*) FILTER (success)"
 _MB = "sum(bytes_downloaded) / 1e6"
 _SUMMARY = f"""count(*) AS total_urls, {_OK} AS successful_downloads, {_FAIL} AS failed_downloads,
   round({_OK} * 100.0 / count(*), 2) AS success_rate_percent, round({_MB}, 3) AS downloaded_mb,
-  round({{secs}}, 3) AS elapsed_sec, round({_MB} / {{secs}}, 3) AS avg_speed_mbps"""
+  round(CAST({{secs}} AS DOUBLE), 3) AS elapsed_sec, round({_MB} / {{secs}}, 3) AS avg_speed_mbps"""
 
 
 @query("overview_summary", f"WITH {OUTCOMES} SELECT {_SUMMARY.format(secs='8382.58')} FROM outcomes")

@@ -35,7 +35,7 @@ def _sql_metrics(ok: str, least: int) -> str:
 
 METRICS = f"{LOG}, {_sql_metrics(_BY_PRESSURE, 5)}"
 _COUNTED = f"""SELECT host, {_AT}, total, n_success, n_errors, n_samples, bytes, n_errors > 0 AS has_overload,
-  round(n_success / {_SECS}, 9) AS goodput_rps, round(bytes / {_SECS}, 9) AS goodput_bps, {_SECS} AS duration, retry_after,
+  round(n_success / {_SECS}, 9) AS goodput_rps, round(bytes / {_SECS}, 9) AS goodput_bps, CAST({_SECS} AS DOUBLE) AS duration, retry_after,
   round(mean_file_size, 9) AS mean_file_size FROM metrics"""
 
 
