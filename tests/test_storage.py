@@ -87,6 +87,20 @@ def test_partitions(spark, folder):
         partitions.write_partitions(df, f"{folder}/r", "xml")
 
 
+def test_a_hot_group_is_written_by_several_tasks(spark, folder):
+    rows = spark.range(200_000, numPartitions=8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("url"))
+    df = rows.withColumn("group", F.when(F.col("id") % 10 < 7, 1).otherwise((F.col("id") % 3 + 2).cast("int")))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "1m")
+    try:
+        partitions.write_partitions(df, f"{folder}/p")
+    finally:
+        spark.conf.unset(key)
+    files = {g: len(glob.glob(f"{folder}/p/group={g}/*.parquet")) for g in (1, 2)}
+    assert files[1] > 3
+    assert read_partitions(spark, f"{folder}/p").count() == 200_000
+
+
 def test_numbered_partition_files(spark, folder):
     for n in (1, 12):
         path = f"{folder}/set/partition_{n:03d}.parquet"

@@ -48,5 +48,5 @@ def distinct_hosts(df: DataFrame) -> DataFrame:
 
 def preview(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     """The first ``n`` rows with the table's row and column counts."""
-    rows = df.agg(F.count("*").alias("n_rows"))
-    return df.orderBy(*order_by).limit(n).crossJoin(rows).withColumn("n_columns", F.lit(len(df.columns)))
+    first = df.orderBy(*order_by).limit(n)
+    return first.withColumn("n_rows", F.lit(df.count())).withColumn("n_columns", F.lit(len(df.columns)))

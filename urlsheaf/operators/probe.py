@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from urlsheaf.functions.urls import REPAIR_EXTENSIONS, repair_urls, size_urls, split_url_ext
@@ -112,10 +113,9 @@ def apply_probe(df: DataFrame, results: DataFrame, url_col: str, idx: str = "idx
 def probe_summary(results: DataFrame) -> DataFrame:
     """Rows and share per status."""
     counts = results.groupBy("status").agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("_all"))  # one row
-    return counts.crossJoin(F.broadcast(total)).select(
-        "status", "n", (F.col("n") * 100.0 / F.col("_all")).alias("percent")
-    )
+    # a window over the few statuses
+    whole = F.sum("n").over(W.partitionBy(F.lit(0)))
+    return counts.select("status", "n", (F.col("n") * 100.0 / whole).alias("percent"))
 
 
 def extension_counts(results: DataFrame) -> DataFrame:

@@ -82,9 +82,10 @@ def performance_summary(log: DataFrame) -> DataFrame:
 
 
 def run_report(performance: DataFrame, totals: DataFrame, stats: DataFrame) -> DataFrame:
-    """One row of structs from the summary of one run, its totals and stats."""
-    whole = performance.crossJoin(F.broadcast(totals.withColumnRenamed("failed_downloads", "_failed")))
-    whole = whole.crossJoin(F.broadcast(stats))  # one-row frames
+    """One row of structs per run summary; ``totals`` and ``stats`` are one-row frames."""
+    known = totals.first().asDict() | stats.first().asDict()
+    known["_failed"] = known.pop("failed_downloads")
+    whole = performance.select("*", *[F.lit(v).alias(k) for k, v in known.items()])
     rate = F.when(F.col("total_urls") > 0, F.col("successful_downloads") * 100.0 / F.col("total_urls")).otherwise(0.0)
     speed = F.when(F.col("wall_sec") > 0, F.col("downloaded_mb") / F.col("wall_sec")).otherwise(0.0)
     return whole.select(

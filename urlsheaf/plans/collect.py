@@ -12,11 +12,9 @@ from urlsheaf.functions.names import IMAGEFOLDER
 from urlsheaf.operators.fetch import fetch_with_retry
 from urlsheaf.operators.manifest import add_row_key, clean_manifest, require_rows, with_host
 from urlsheaf.operators.partition import (
-    hosts_per_partition,
     partition_by_host,
     partition_by_label,
     partition_simple,
-    rows_per_partition,
 )
 from urlsheaf.operators.requests import plan_requests
 from urlsheaf.session import materialise
@@ -62,8 +60,7 @@ def plan_only(df: DataFrame, job: Job = Job()) -> DataFrame:
     """Rows and hosts per partition, and the shard it would fill; fetches nothing."""
     split = _split(clean_manifest(df, job.url_col), job)
     hosted = split if "host" in split.columns else with_host(split, job.url_col)
-    split = materialise(hosted.select("group", "host"), "plan")
-    sizes = rows_per_partition(split).join(hosts_per_partition(split), "group")
+    sizes = hosted.groupBy("group").agg(F.count("*").alias("n_rows"), F.countDistinct("host").alias("n_hosts"))
     return sizes.withColumn("target", F.format_string("output_partition_%03d", F.col("group")))
 
 
