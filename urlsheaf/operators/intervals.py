@@ -104,6 +104,9 @@ def interval_percentiles(
             F.floor(F.log(value) * _BUCKETS_PER_E).alias("_b"),
             "_v",
         )
+        # stated, as the join below would add it to one of its sides only, and
+        # the log would be read and shuffled for each side
+        .filter(F.col("host").isNotNull() & F.col("_b").isNotNull())
         .groupBy(*cell, "_b", "_v")
         .agg(F.count("*").alias("_n"))
     )
@@ -130,21 +133,27 @@ def interval_percentiles(
             ),
         )
     )
-    wanted = buckets.filter(F.size("_ranks") > 0).select(*cell, "_b", "_before", "_ranks")
+    wanted = buckets.filter(F.size("_ranks") > 0).select(*cell, "_b", "_before", "_ranks", "n_samples")
     inside = W.partitionBy(*cell, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
     upto = F.col("_before") + F.sum("_n").over(inside)
     found = (
         samples.join(wanted, [*cell, "_b"])
         .withColumn("_upto", upto)
-        .select(*cell, "_v", (F.col("_upto") - F.col("_n")).alias("_from"), "_upto", F.explode("_ranks").alias("_r"))
+        .select(
+            *cell,
+            "_v",
+            "n_samples",
+            (F.col("_upto") - F.col("_n")).alias("_from"),
+            "_upto",
+            F.explode("_ranks").alias("_r"),
+        )
         .filter((F.col("_r.rank") >= F.col("_from")) & (F.col("_r.rank") < F.col("_upto")))
     )
     parts = [
         F.sum(F.when(F.col("_r.name") == name, F.col("_r.weight") * value)).alias(name) for name in PERCENTILES
     ]
-    values = found.groupBy(*cell).agg(*parts)
-    counts = buckets.groupBy(*cell).agg(F.max("n_samples").alias("n_samples"))
-    return counts.join(values, cell).select(
+    values = found.groupBy(*cell).agg(F.max("n_samples").alias("n_samples"), *parts)
+    return values.select(
         *cell,
         "n_samples",
         *[F.when(F.col("n_samples") >= min_samples, F.col(name)).alias(name) for name in PERCENTILES],
