@@ -200,13 +200,13 @@ def test_pacing_of_a_hot_host(spark):
     rng = random.Random(3)
     rows = []
     for i in range(900):
-        host = "hot" if i % 3 else f"h{i % 4}"
-        known = host != "h0"
+        host = "hot" if i % 3 else (f"h{i % 4}" if i % 4 else None)
+        known = host != "h1"
         rows.append((host, rng.choice([0.0, rng.random() * 40]), 0.4 if known else None, 4, i))
     df = spark.createDataFrame(rows, "host string, at double, rtprop double, c int, id int")
     got = {r["id"]: r["release"] for r in pacing.pace_requests(df, "host", "at", "rtprop", "c", "id").collect()}
     previous = {}
-    for host, at, rtprop, c, i in sorted(rows, key=lambda r: (r[0], r[1], r[4])):
+    for host, at, rtprop, c, i in sorted(rows, key=lambda r: (r[0] or "", r[1], r[4])):
         delay = 0.01 if rtprop is None else rtprop / c
         previous[host] = at if host not in previous else max(at, previous[host] + delay)
         assert got[i] == pytest.approx(previous[host], abs=1e-9)

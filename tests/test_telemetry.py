@@ -86,6 +86,13 @@ def test_percentile_example(spark):
     assert intervals.interval_percentiles(same, "10 seconds").first()["p50_raw"] == 1.0
 
 
+def test_requests_without_a_host(spark):
+    rows = [(None, START, 200, 0.1 * (i + 1), 1, False, None) for i in range(6)]
+    got = intervals.interval_snapshot(spark.createDataFrame(rows, LOG), "10 seconds").collect()
+    assert [(r["host"], r["total"]) for r in got] == [("unknown", 6)]
+    assert got[0]["p50_raw"] == pytest.approx(0.35)
+
+
 def test_success_by_status(spark):
     rows = [("h", START, s, 0.1, 1, False, None) for s in (200, 301, 404, 500)]
     got = intervals.interval_metrics(spark.createDataFrame(rows, LOG), "10 seconds", intervals.BY_STATUS).first()

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from urlsheaf.functions.status import is_overload
+from urlsheaf.functions.urls import UNKNOWN_HOST
 
 # The latency percentiles kept, and the samples they need.
 PERCENTILES = {"p10_raw": 0.10, "p50_raw": 0.50, "p95_raw": 0.95}
@@ -24,6 +25,11 @@ BY_STATUS = "status"
 _BUCKETS_PER_E = 64
 
 
+def _hosted(log: DataFrame) -> DataFrame:
+    """Requests without a host count for the unknown one, as everywhere."""
+    return log.withColumn("host", F.coalesce("host", F.lit(UNKNOWN_HOST)))
+
+
 def _failed(success_rule: str) -> Column:
     if success_rule == BY_STATUS:
         return ~F.coalesce(F.col("status_code").between(200, 399), F.lit(False))
@@ -79,7 +85,7 @@ def _metric_columns(*extra: str) -> list:
 
 def interval_metrics(log: DataFrame, interval: str, success_rule: str = BY_PRESSURE) -> DataFrame:
     """Counts, bytes and goodput per host and interval."""
-    grouped = log.groupBy("host", F.window("ts", interval)).agg(*_counts(success_rule))
+    grouped = _hosted(log).groupBy("host", F.window("ts", interval)).agg(*_counts(success_rule))
     return grouped.select(*_metric_columns())
 
 
@@ -95,7 +101,8 @@ def interval_percentiles(
     cell = ["host", "interval_start", "interval_end"]
     value = F.col("_v")
     samples = (
-        log.select("host", F.window("ts", interval).alias("window"), _sample(success_rule).alias("_v"))
+        _hosted(log)
+        .select("host", F.window("ts", interval).alias("window"), _sample(success_rule).alias("_v"))
         .filter(value.isNotNull())
         .select(
             "host",
@@ -106,7 +113,7 @@ def interval_percentiles(
         )
         # stated, as the join below would add it to one of its sides only, and
         # the log would be read and shuffled for each side
-        .filter(F.col("host").isNotNull() & F.col("_b").isNotNull())
+        .filter(F.col("_b").isNotNull())
         .groupBy(*cell, "_b", "_v")
         .agg(F.count("*").alias("_n"))
     )
@@ -199,7 +206,8 @@ def streaming_snapshot(
     else:
         latency = F.percentile_approx(sample, marks, accuracy)
     grouped = (
-        log.withWatermark("ts", delay)
+        _hosted(log)
+        .withWatermark("ts", delay)
         .groupBy("host", F.window("ts", interval))
         .agg(*_counts(success_rule), latency.alias("_p"))
     )

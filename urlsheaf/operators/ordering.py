@@ -117,32 +117,22 @@ def indexed_by_key(df: DataFrame, key: str, out: str = "row_idx") -> tuple[DataF
     A frequent key is spread over its position chunks; no task ever holds
     more than one chunk of one key.
     """
-    placed = with_position(df)
-    cells = _position_cells(placed, key)
-    totals = cells.groupBy(key).agg(F.sum("_n").alias("_n"))
-    key_base = prefix_sums(totals, [F.col(key).asc_nulls_first()], "_n", "_key_base").select(
-        F.col(key).alias("_k"), "_key_base"
-    )
-    in_key = W.partitionBy(key).orderBy(_FILE, _CHUNK)
+    # a struct is never null itself, so null keys join and share the shuffle of the rest
+    placed = with_position(df).withColumn("_k", F.struct(F.col(key).alias("v")))
+    cells = _position_cells(placed, "_k")
+    totals = cells.groupBy("_k").agg(F.sum("_n").alias("_n"))
+    key_base = prefix_sums(totals, [F.col("_k.v").asc_nulls_first()], "_n", "_key_base")
+    in_key = W.partitionBy("_k").orderBy(_FILE, _CHUNK)
     bases = (
         cells.withColumn("_cell_base", _sum_before("_n", in_key))
-        .join(key_base, F.col(key).eqNullSafe(F.col("_k")))
-        .select(
-            F.col(key).alias("_k"),
-            F.col(_FILE).alias("_f"),
-            F.col(_CHUNK).alias("_c"),
-            (F.col("_key_base") + F.col("_cell_base")).alias(_BASE),
-        )
-    )
-    match = (
-        F.col(key).eqNullSafe(F.col("_k")) & (F.col(_FILE) == F.col("_f")) & (F.col(_CHUNK) == F.col("_c"))
-    )
-    inside = W.partitionBy(key, _FILE, _CHUNK).orderBy(_POS)
-    numbered = placed.join(bases, match).withColumn(
-        out, (F.col(_BASE) + F.row_number().over(inside) - 1).cast("long")
+        .join(key_base.select("_k", "_key_base"), "_k")
+        .select("_k", _FILE, _CHUNK, (F.col("_key_base") + F.col("_cell_base")).alias(_BASE))
     )
+    cell = ["_k", _FILE, _CHUNK]
+    place = F.row_number().over(W.partitionBy(*cell).orderBy(_POS)) - 1
+    numbered = placed.join(bases, cell).withColumn(out, (F.col(_BASE) + place).cast("long"))
     total = totals.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    return without_position(numbered).drop("_k", "_f", "_c", _BASE), total
+    return without_position(numbered).drop("_k", _BASE), total
 
 
 def batch_index(df: DataFrame, size: int, idx: str = "row_idx", out: str = "batch_idx") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from urlsheaf.functions.urls import UNKNOWN_HOST
 from urlsheaf.session import materialise
 
 # Spacing when nothing is known, and the smallest latency used.
@@ -29,28 +30,30 @@ def pace_requests(
     known = F.col(rtprop).isNotNull() & F.col(c).isNotNull()
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [arrival, *ties]
+    # never null, so rows are shuffled once by host and chunk for all that follows
+    keyed = df.withColumn("_host", F.coalesce(F.col(host), F.lit(UNKNOWN_HOST)))
     ranged = materialise(
-        df.withColumn("delay", F.when(known, spacing).otherwise(UNKNOWN_DELAY))
-        .repartitionByRange(parts, host, *order)
+        keyed.withColumn("delay", F.when(known, spacing).otherwise(UNKNOWN_DELAY))
+        .repartitionByRange(parts, "_host", *order)
         .withColumn("_chunk", F.spark_partition_id()),
         "paced",
-    )
-    inside = W.partitionBy(host, "_chunk").orderBy(*order)
+    ).filter(F.col("_host").isNotNull() & F.col("_chunk").isNotNull())
+    inside = W.partitionBy("_host", "_chunk").orderBy(*order)
     local = ranged.withColumn("_i", F.row_number().over(inside) - 1).withColumn(
         "_ahead", F.col(arrival) - F.col("_i") * F.col("delay")
     )
-    chunk = local.groupBy(host, "_chunk").agg(
+    chunk = local.groupBy("_host", "_chunk").agg(
         F.count("*").alias("_n"), F.max("_ahead").alias("_top"), F.first("delay").alias("_d")
     )
     # at most one row per chunk of a host
-    earlier = W.partitionBy(host).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("_host").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     starts = chunk.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     starts = starts.withColumn("_carry", F.max(F.col("_top") - F.col("_start") * F.col("_d")).over(earlier))
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     i = F.col("_start") + F.col("_i")
     top = F.max("_ahead").over(upto) - F.col("_start") * F.col("delay")
     return (
-        local.join(starts.select(host, "_chunk", "_start", "_carry"), [host, "_chunk"])
+        local.join(starts.select("_host", "_chunk", "_start", "_carry"), ["_host", "_chunk"])
         .withColumn("release", F.greatest(top, F.col("_carry")) + i * F.col("delay"))
         .withColumn("rate", 1.0 / F.col("delay"))
         .select(*df.columns, "delay", "release", "rate")
