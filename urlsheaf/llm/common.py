@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,3 +68,34 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
             path.getFileSystem(conf).delete(path, True)
+
+
+def whole_groups(
+    batches: Iterator[pa.RecordBatch], key: str, limit: int | None
+) -> Iterator[tuple[bool, pa.Table]]:
+    """Cut a stream ordered by ``key`` (long) between its groups: (False, rows of whole groups), or (True, some rows of
+    a group of more than ``limit`` rows).  No more than a group's ``limit`` rows and a batch are held."""
+    held, hot = None, None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([held, rows]) if held is not None else rows
+        held = None
+        keys = rows.column(key).to_numpy()
+        if hot is not None and keys.size:
+            end = int(np.searchsorted(keys, hot, "right"))
+            if end:
+                yield True, rows.slice(0, end)
+            rows, keys = rows.slice(end), keys[end:]
+            hot = hot if not keys.size else None
+        if not keys.size:
+            continue
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if cut:
+            yield False, rows.slice(0, cut)
+        held = rows.slice(cut)
+        if limit is not None and held.num_rows > limit:
+            hot = int(keys[-1])
+            yield True, held
+            held = None
+    if held is not None and held.num_rows:
+        yield False, held

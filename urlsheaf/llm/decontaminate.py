@@ -198,7 +198,7 @@ def find_leaks(
 def without_leaks(docs: DataFrame, items: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, whose document holds no item.  Rows without doc_id are one document."""
     leaks = find_leaks(docs, items, least).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_id"]), "left_anti")
 
 
 def leak_slack(n: int, least: float = SIMILARITY) -> int:

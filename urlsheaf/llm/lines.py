@@ -120,7 +120,7 @@ def dedupe_lines(docs: DataFrame, min_docs: int = 5, min_chars: int = 40, batche
 
     Rows of the same doc_id are one document when documents are counted, and each of them is treated by the same
     rules.  A row without id is no document that counts, and loses every line that is dropped elsewhere.  Other columns
-    are handed on.  An empty table gives no rows.
+    are handed on, but for those named like the two added.  An empty table gives no rows.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
@@ -138,14 +138,15 @@ def dedupe_lines(docs: DataFrame, min_docs: int = 5, min_chars: int = 40, batche
     drops = scratch.keep(drops, "line-drops")
     scratch.drop("lines", *(run.name for run in runs.runs))
     # the side with the texts is streamed: neither sorted nor held
-    at = (F.col("doc_id").eqNullSafe(F.col("_id"))) & (F.xxhash64("text") == F.col("_hash"))
+    at = docs["doc_id"].eqNullSafe(drops["_id"]) & (F.xxhash64(docs["text"]) == drops["_hash"])
     joined = docs.join(drops.hint("shuffle_hash"), at, "left")
-    dropped = F.col("_drops").isNotNull()
+    text, places = whole(docs["text"]), drops["_drops"]
+    dropped = places.isNotNull()
     return joined.select(
-        *(F.col(c) for c in docs.columns if c != "text"),
-        F.when(dropped, without_lines(whole("text"), F.col("_drops"))).otherwise(whole("text")).alias("text"),
-        F.size(F.split(whole("text"), "\n")).cast("long").alias("n_lines"),
-        F.when(dropped, F.size("_drops")).otherwise(0).cast("long").alias("n_dropped"),
+        *(docs[f"`{c}`"] for c in docs.columns if c not in ("text", "n_lines", "n_dropped")),
+        F.when(dropped, without_lines(text, places)).otherwise(text).alias("text"),
+        F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
+        F.when(dropped, F.size(places)).otherwise(0).cast("long").alias("n_dropped"),
     )
 
 

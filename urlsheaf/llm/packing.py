@@ -12,13 +12,11 @@ from __future__ import annotations
 import functools
 import math
 import re
-import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +38,11 @@ CACHE = 200_000
 STRETCH = 1 << 20
 
 _GAP = re.compile("[ \t\n\r\x0b\x0c]")
-_RUNS = regex.compile(r"\p{L}+|[^\p{L}]+")
+#: Latin letters but the dotted capital I, whose lower case is two characters; words of them and ASCII signs, without
+#: the apostrophe, which begins tokens like ``'s``.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+_RUNS = re.compile(f"[{_LATIN}]+|[^{_LATIN}]+")
+_PLAIN = re.compile(f"[!-&(-~{_LATIN}]+")
 #: Blank for Python, not for the tokenizer.
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -63,8 +65,7 @@ class Encoder:
     """Token ids of whole texts.
 
     The tokenizer never looks beyond white space, so a text's ids are those of its words one after the other, and words
-    recur.  A word of letters and signs is put together from its runs where that is the same: no apostrophe, which
-    begins tokens like ``'s``; composed characters; none of the two letters whose lower case depends on more.
+    recur.  A word of Latin letters and ASCII signs is put together from its runs of either, as the tokenizer does.
     """
 
     def __init__(self, path: str) -> None:
@@ -79,7 +80,7 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        if "'" in word or "İ" in word or "Σ" in word or not unicodedata.is_normalized("NFC", word):
+        if not _PLAIN.fullmatch(word):
             return self._encode(word)
         return b"".join([self.parts[p.lower()] for p in _RUNS.findall(word)])
 

@@ -181,7 +181,7 @@ def with_score(docs: DataFrame, weights: np.ndarray, keep: list[str], score: str
                 [*(part.column(c) for c in keep), pa.array(scores, pa.float64())], [*keep, score]
             )
 
-    read = docs.select(*dict.fromkeys([*keep, "text"]))
+    read = docs.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"])))
     return read.mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), T.StructField(score, T.DoubleType())]))
 
 
@@ -208,4 +208,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float, label: str = "qu
     while score in docs.columns:
         score += "_"
     weights = train(docs, labels, label, ~fold(5, 0), limit)
-    return with_score(docs, weights, docs.columns, score).where(F.col(score) >= least).drop(score)
+    return with_score(docs, weights, docs.columns, score).where(F.col(score) >= least).drop(F.col(f"`{score}`"))

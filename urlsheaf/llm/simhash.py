@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urlsheaf.llm.common import UPPER, Scratch, text_slices
+from urlsheaf.llm.common import UPPER, Scratch, text_slices, whole_groups
 from urlsheaf.llm.components import components
 
 RADIUS = 4
@@ -135,30 +135,13 @@ def _linker(radius: int, block: int | None):
                 pairs = np.unique(np.stack([members[a], members[b]]), axis=1)
                 yield out([None] * pairs.shape[1], pairs[0], pairs[1])
 
-    def passed(keys, members):
-        yield out(keys, members, [None] * len(keys))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_keys, held, hot = np.empty(0, np.int64), np.empty(0, np.int64), None
-        for batch in batches:
-            keys = np.concatenate([held_keys, batch.column("key").to_numpy()])
-            members = np.concatenate([held, batch.column("fp").to_numpy()])
-            if hot is not None:  # goes on with a bucket that is too large
-                end = int(np.searchsorted(keys, hot, "right"))
-                yield from passed(keys[:end], members[:end])
-                keys, members = keys[end:], members[end:]
-                if not keys.size:
-                    held_keys, held = keys, members
-                    continue
-                hot = None
-            cut = int(np.searchsorted(keys, keys[-1])) if keys.size else 0
-            yield from links(keys[:cut], members[:cut])
-            held_keys, held = keys[cut:], members[cut:]
-            if block is not None and held.size > block:
-                hot = int(held_keys[0])
-                yield from passed(held_keys, held)
-                held_keys, held = held_keys[:0], held[:0]
-        yield from links(held_keys, held)
+        for large, group in whole_groups(batches, "key", block):
+            keys, members = group.column("key").to_numpy(), group.column("fp").to_numpy()
+            if large:
+                yield out(keys, members, [None] * keys.size)
+            else:
+                yield from links(keys, members)
 
     return run
 
@@ -226,4 +209,5 @@ def keep_one(docs: DataFrame, width: int = 4, radius: int = RADIUS) -> DataFrame
     found = simhash_components(docs, width, radius)
     first = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
     nobody = docs.sparkSession.range(1).select(F.lit(None).cast("long").alias("_id"))
-    return docs.join(first.unionByName(nobody), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    chosen = first.unionByName(nobody)
+    return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_id"]), "left_semi")
