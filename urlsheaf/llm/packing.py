@@ -204,13 +204,12 @@ def pack(
         last = scratch.keep(_round(open_bins, "item", tasks, round_no, capacity), f"pack-{round_no}")
         step = last.select(F.col("item").alias("from"), F.col("bin").alias("to"), F.col("offset").alias("by"))
         if placed is None:
-            placed = step.select("from", "to", "by")
+            placed = step
         else:
-            moved = placed.join(step.withColumnsRenamed({"from": "to", "to": "next", "by": "more"}), "to", "left")
-            gone_on = moved.select(
+            on = step.select(F.col("from").alias("to"), F.col("to").alias("next"), F.col("by").alias("more"))
+            placed = placed.join(on, "to", "left").select(
                 "from", F.coalesce("next", "to").alias("to"), (F.col("by") + F.coalesce("more", F.lit(0))).alias("by")
             )
-            placed = gone_on
         placed = scratch.keep(placed, f"pack-placed-{round_no}")
         if round_no > 1:
             scratch.drop(name, f"pack-placed-{round_no - 1}")

@@ -255,8 +255,11 @@ def _sorted_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 pair, k = np.array(hashes, np.uint64).view(np.int64), np.arange(n)
                 yield _covered(np.full(n, doc), np.full(n, at), k, k, pair[:, 0], pair[:, 1])
             continue
+        keys, docs, ats = (group.column(c).to_numpy() for c in ("key", "doc_id", "at"))
+        once = np.ones(keys.size, bool)  # repeated rows bring the same place
+        once[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1]) | (ats[1:] != ats[:-1])
+        group, keys = group.filter(pa.array(once)), keys[once]
         # whole keys up to a shard's size
-        keys = group.column("key").to_numpy()
         lengths = np.cumsum((group.column("at").to_numpy() & 255) + LENGTH - 1)
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         begun = 0
