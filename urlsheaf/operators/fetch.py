@@ -5,14 +5,13 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urlsheaf.functions.status import INVALID_URL_TEXT, status_error
 from urlsheaf.functions.urls import valid_url
 from urlsheaf.operators.outcomes import needs_retry
-from urlsheaf.session import scratch_path
+from urlsheaf.session import exists, scratch_path
 
 
 def _accepted(status: Column, codes: Iterable[int]) -> Column:
@@ -65,10 +64,8 @@ def fetch(
 
 
 def _written(spark, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    """The table at ``path`` if its write was committed as a whole."""
+    return spark.read.parquet(path) if exists(spark, f"{path}/_SUCCESS") else None
 
 
 def fetch_attempts(
@@ -83,7 +80,7 @@ def fetch_attempts(
 
     An attempt is on disk before anything reads it, so no later plan can send
     a request again.  Called anew with the same ``work_dir``, finished
-    attempts are read back.
+    attempts are read back; one that was broken off is made anew.
     """
     spark = requests.sparkSession
     base = work_dir or scratch_path(spark, "fetch")
@@ -94,7 +91,7 @@ def fetch_attempts(
         if done is None:
             if attempt > 1 and transport.retry_wait:
                 time.sleep(backoff)
-            fetch(pending, transport, attempt=attempt, **options).write.parquet(path)
+            fetch(pending, transport, attempt=attempt, **options).write.mode("overwrite").parquet(path)
             done = _written(spark, path)
         done = done.withColumn("attempt", F.lit(attempt))
         attempts.append(done)

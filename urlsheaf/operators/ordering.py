@@ -9,6 +9,7 @@ filtered out of any chunk, the rows are not even shuffled.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,19 +18,39 @@ from urlsheaf.functions.text import whole_quotient
 from urlsheaf.session import materialise
 
 CHUNK_ROWS = 1 << 20
+# Values of the first four hexadecimal digits of a hash.
+SAMPLE_RANGES = 1 << 16
 
 _FILE, _POS, _CHUNK, _BASE = "_file", "_pos", "_chunk", "_base"
 
 
+def _resolves(df: DataFrame, *names: str) -> bool:
+    try:
+        df.select(*names)
+    except AnalysisException:
+        return False
+    return True
+
+
 def with_position(df: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Add file, row position in the file and position chunk (parquet scans)."""
+    """Add file, row position in the file and position chunk.
+
+    Parquet scans know the position.  Other files know the start of a split:
+    their rows are numbered once, as they are read, and written.  Any other
+    frame (a union, a join) is written once in the order of its partitions.
+    """
     pos = F.col("_metadata.row_index")
-    return df.select(
-        "*",
-        F.col("_metadata.file_path").alias(_FILE),
-        pos.alias(_POS),
-        whole_quotient(pos, F.lit(chunk_rows)).alias(_CHUNK),
-    )
+    chunk = whole_quotient(F.col(_POS), F.lit(chunk_rows)).alias(_CHUNK)
+    if _resolves(df, "_metadata.row_index"):
+        placed = df.select("*", F.col("_metadata.file_path").alias(_FILE), pos.alias(_POS))
+        return placed.select("*", chunk)
+    number = F.monotonically_increasing_id()
+    if _resolves(df, "_metadata.file_path", "_metadata.file_block_start"):
+        start = F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0")
+        file = F.concat_ws("#", F.col("_metadata.file_path"), start)
+    else:
+        file = F.lpad(F.spark_partition_id().cast("string"), 10, "0")
+    return materialise(df.select("*", file.alias(_FILE), number.alias(_POS)), "placed").select("*", chunk)
 
 
 def without_position(df: DataFrame) -> DataFrame:
@@ -45,23 +66,28 @@ def prefix_sums(df: DataFrame, order_by: list[Column], value: str | None, out: s
     """Exclusive running sum of ``value`` (row numbers when None) over all rows.
 
     Rows are range partitioned and written, so both passes see the same
-    chunks.  ``order_by`` must be unique for the result to be reproducible;
+    chunks, whose number follows from the number of rows.  ``order_by`` must
+    be unique for the result to be reproducible;
     a unique tie breaker also lets a frequent first key spread over chunks.
     """
     return _running(df, order_by, value, out)[0]
 
 
+def in_ranges(df: DataFrame, order_by: list[Column], name: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """``df`` written in ranges of about ``chunk_rows`` rows, numbered by ``_chunk``."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-df.count() // chunk_rows))
+    return materialise(
+        df.repartitionByRange(parts, *order_by).withColumn(_CHUNK, F.spark_partition_id()), name
+    )
+
+
 def _running(df: DataFrame, order_by: list[Column], value: str | None, out: str) -> tuple[DataFrame, int]:
     """Running sums and the number of rows, which the written files know."""
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialise(
-        df.repartitionByRange(parts, *order_by).withColumn(_CHUNK, F.spark_partition_id()),
-        "ranged",
-    )
+    ranged = in_ranges(df, order_by, "ranged")
     amount = F.lit(1) if value is None else F.col(value)
     sums = ranged.groupBy(_CHUNK).agg(F.sum(amount).alias("_n"))
-    # at most `parts` rows
+    # one row per chunk
     offsets = sums.select(_CHUNK, _sum_before("_n", W.orderBy(_CHUNK)).alias(_BASE))
     inside = W.partitionBy(_CHUNK).orderBy(*order_by)
     if value is None:
@@ -143,8 +169,21 @@ def batch_index(df: DataFrame, size: int, idx: str = "row_idx", out: str = "batc
 def sample_n(df: DataFrame, n: int, key: list[str], seed: int = 0) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, uniform and reproducible.
 
-    Rows are ordered by a hash of their key; the sort keeps only ``n`` rows
-    per task, so the limit is the size of the wanted sample.
+    Rows are ordered by a hash of their key.  Counts of hash ranges tell the
+    range that holds the last wanted row; ranges below it are taken whole, so
+    only the rows of that one range, about ``rows / SAMPLE_RANGES``, are sorted.
     """
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed)))
-    return df.withColumn("_h", F.md5(text)).orderBy("_h", *key).limit(n).drop("_h")
+    hashed = df.withColumn("_h", F.md5(text))
+    ranged = hashed.withColumn("_r", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int"))
+    counts = ranged.groupBy("_r").agg(F.count("*").alias("_n"))
+    # a window over at most SAMPLE_RANGES rows
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_r").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    last = counts.withColumn("_before", before).filter(F.col("_before") < n).agg(
+        F.max("_r").alias("r"), F.max("_before").alias("taken")
+    ).first()
+    if last["r"] is None:
+        return df.limit(0)
+    whole = ranged.filter(F.col("_r") < last["r"])
+    part = ranged.filter(F.col("_r") == last["r"]).orderBy("_h", *key).limit(n - last["taken"])
+    return whole.unionByName(part).drop("_h", "_r")

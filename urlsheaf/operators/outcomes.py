@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urlsheaf.functions.status import is_retryable
+from urlsheaf.functions.status import is_connection_error, is_retryable
+
 
 def needs_retry() -> Column:
     return ~F.col("success") & is_retryable(F.col("status_code"), F.col("error"))
@@ -52,15 +53,25 @@ def _rate(amount: Column, secs: Column) -> Column:
 
 
 def overview_summary(
-    outcomes: DataFrame, total: int | None = None, elapsed: float | Column = 0.0, by: list[str] | None = None
+    outcomes: DataFrame, total: int | None = None, elapsed: float | Column | None = 0.0, by: list[str] | None = None
 ) -> DataFrame:
-    """Totals, success rate, megabytes (10^6) and speed; one row, or one per ``by``."""
-    secs = elapsed if isinstance(elapsed, Column) else F.lit(float(elapsed))
+    """Totals, success rate, megabytes (10^6) and speed; one row, or one per ``by``.
+
+    ``elapsed`` of None is the rows' own: from the first request to the last
+    first byte, zero where no times are known.
+    """
+    began = F.col("ts").cast("double") if "ts" in outcomes.columns else F.lit(None).cast("double")
+    ended = began + F.coalesce(F.col("ttfb"), F.lit(0.0)) if "ttfb" in outcomes.columns else began
+    if elapsed is None:
+        secs = F.coalesce(F.col("_span"), F.lit(0.0))
+    else:
+        secs = elapsed if isinstance(elapsed, Column) else F.lit(float(elapsed))
     sums = outcomes.groupBy(*(by or [])).agg(
         F.count("*").alias("_rows"),
         F.count_if("success").alias("successful_downloads"),
         F.count_if(~F.col("success")).alias("failed_downloads"),
         F.coalesce(F.sum(F.when(F.col("success"), F.col("bytes_downloaded"))), F.lit(0)).alias("_bytes"),
+        (F.max(ended) - F.min(began)).alias("_span"),
     )
     rows = F.lit(total).cast("long") if total is not None else F.col("_rows")
     mb = F.col("_bytes") / 1e6
@@ -76,13 +87,28 @@ def overview_summary(
     )
 
 
+def request_log(outcomes: DataFrame) -> DataFrame:
+    """The outcome table as a request log, the input of the interval metrics."""
+    return outcomes.select(
+        "host",
+        "ts",
+        "status_code",
+        "ttfb",
+        F.col("bytes_downloaded").alias("bytes"),
+        (F.col("status_code").isNull() & is_connection_error(F.col("error"))).alias("is_conn_error"),
+        "retry_after",
+    )
+
+
+def count_errors(outcomes: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Failures per status and message."""
+    failed = outcomes.filter(~F.col("success"))
+    return failed.groupBy(*(by or []), "status_code", "error").agg(F.count("*").alias("n"))
+
+
 def error_breakdown(outcomes: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Failures per status and message, most frequent first."""
-    counted = (
-        outcomes.filter(~F.col("success"))
-        .groupBy(*(by or []), "status_code", "error")
-        .agg(F.count("*").alias("n"))
-    )
+    counted = count_errors(outcomes, by)
     return counted.orderBy(*(by or []), F.desc("n"), "status_code", "error")
 
 

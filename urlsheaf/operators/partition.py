@@ -54,16 +54,21 @@ def partition_simple(df: DataFrame, n: int, order_by=None, shuffle_seed: int | N
     return rows.withColumn("group", group.cast("int")).drop("_i")
 
 
+def _in_stretches(df: DataFrame, label: str, n: int, out: str) -> DataFrame:
+    """Rows with the number of their stretch, and its name under ``out``."""
+    rows, total = indexed_by_key(df, label, "_i")
+    size = max(-(-total // n), 1)
+    numbered = rows.withColumn("_stretch", whole_quotient(F.col("_i"), F.lit(size)) + 1)
+    named = F.concat(F.col(label).cast("string"), F.lit("_"), F.col("_stretch").cast("string"))
+    return numbered.withColumn(out, named).drop("_i")
+
+
 def chunk_labels(df: DataFrame, label: str, n: int, out: str = "label_chunk") -> DataFrame:
     """Cut the label-sorted rows into ``n`` stretches; ``label_k`` names both.
 
     Pass ``out=label`` to replace the label itself.  Null labels stay null.
     """
-    rows, total = indexed_by_key(df, label, "_i")
-    size = max(-(-total // n), 1)
-    chunk = whole_quotient(F.col("_i"), F.lit(size)) + 1
-    named = F.concat(F.col(label).cast("string"), F.lit("_"), chunk.cast("string"))
-    return rows.withColumn(out, named).drop("_i")
+    return _in_stretches(df, label, n, out).drop("_stretch")
 
 
 def partition_by_host(df: DataFrame, url_col: str, n: int, host: str = "host") -> DataFrame:
@@ -75,11 +80,16 @@ def partition_by_host(df: DataFrame, url_col: str, n: int, host: str = "host") -
 
 
 def partition_by_label(df: DataFrame, label: str, n: int) -> DataFrame:
-    """Label chunks, packed by row count; replaces a ``group`` column."""
+    """Label chunks, packed by row count; replaces a ``group`` column.
+
+    Rows without a label are cut into stretches like those of any label.
+    """
     require_columns(df, label)
-    chunked = chunk_labels(df.drop("group"), label, n)
-    counts = chunked.groupBy("label_chunk").agg(F.count("*").alias("n_rows"))
-    return attach_label_group(chunked, greedy_pack(counts, "label_chunk", "n_rows", n), "label_chunk")
+    chunked = _in_stretches(df.drop("group"), label, n, "label_chunk")
+    unnamed = F.concat(F.lit("\0"), F.col("_stretch").cast("string"))  # no label begins like that
+    keyed = chunked.withColumn("_chunk_key", F.coalesce("label_chunk", unnamed)).drop("_stretch")
+    counts = keyed.groupBy("_chunk_key").agg(F.count("*").alias("n_rows"))
+    return attach_label_group(keyed, greedy_pack(counts, "_chunk_key", "n_rows", n), "_chunk_key").drop("_chunk_key")
 
 
 def rows_per_partition(df: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from urlsheaf.functions.urls import REPAIR_EXTENSIONS, repair_urls, size_urls, split_url_ext
 from urlsheaf.operators.ordering import batch_index, row_index, sample_n
-from urlsheaf.session import scratch_path
-from urlsheaf.sources.checkpoints import completed_batches, read_checkpoints
+from urlsheaf.session import materialise, scratch_path
+from urlsheaf.sources.checkpoints import batch_sizes, read_checkpoints
 from urlsheaf.sources.manifest import require_columns
 
 # Outcomes of a probe.
@@ -21,6 +21,8 @@ NO_EXTENSION = "no_extension"
 # A probe is committed in at most this many waves of whole batches.
 MAX_WAVES = 100
 MIN_BATCHES_PER_WAVE = 64
+# Batch numbers that are broadcast, 16 bytes each.
+BROADCAST_BATCHES = 1_000_000
 
 
 def pending_batches(df: DataFrame, done: DataFrame) -> DataFrame:
@@ -70,39 +72,43 @@ def probe_extensions(
     """Probe result per row; resumable with a ``checkpoint`` folder.
 
     Batches are probed in waves of many at a time, and each wave is committed
-    as a whole.  ``idx`` names an existing 0-based index, else the file order
+    as a whole.  A batch with fewer results than rows was broken off and is
+    probed anew.  ``idx`` names an existing 0-based index, else the file order
     gives one.
     """
     require_columns(df, url_col)
     spark = df.sparkSession
     numbered = df.withColumn("idx", F.col(idx)) if idx else row_index(df, out="idx")
-    work = batch_index(
-        numbered.select("idx", F.col(url_col).alias("url")), batch_size, "idx"
-    )
+    work = batch_index(numbered.select("idx", F.col(url_col).alias("url")), batch_size, "idx")
     target = checkpoint or scratch_path(spark, "probe")
-    facts = work.agg(F.max("batch_idx").alias("last"), F.count("*").alias("rows")).first()
+    sizes = materialise(work.groupBy("batch_idx").agg(F.count("*").alias("n_rows")), "batches")
+    facts = sizes.agg(F.max("batch_idx").alias("last"), F.sum("n_rows").alias("rows")).first()
     if facts["last"] is None:
         return _probe(work, transport, exts)
-    done = completed_batches(spark, target)
     if batches_per_wave is None:
         batches_per_wave = max(MIN_BATCHES_PER_WAVE, facts["last"] // MAX_WAVES + 1)
-    waves = pending_batches(
-        spark.range(facts["last"] + 1).withColumnRenamed("id", "batch_idx"), done
-    ).select(F.col("batch_idx").cast("long"))
-    lows = [r[0] for r in _wave_starts(waves, batches_per_wave)]
-    for low in lows:
-        wave = work.filter(F.col("batch_idx").between(low, low + batches_per_wave - 1))
-        todo = pending_batches(wave, done)
-        _probe(todo, transport, exts).write.mode("append").partitionBy("batch_idx").parquet(target)
+    whole = batch_sizes(spark, target).withColumnRenamed("n_rows", "_found")
+    due = sizes.join(whole, "batch_idx", "left").filter(F.coalesce("_found", F.lit(-1)) != F.col("n_rows"))
+    low = F.col("batch_idx") - F.col("batch_idx") % batches_per_wave
+    due = materialise(due.select("batch_idx", low.alias("wave")), "due")
+    # one row per wave, of which there are at most MAX_WAVES
+    waves = [r[0] for r in due.select("wave").distinct().orderBy("wave").collect()]
+    if len(waves) > 1:
+        # written by wave, so that each reads its own rows only
+        path = scratch_path(spark, "waves")
+        due_work = work.join(F.broadcast(due), "batch_idx") if facts["last"] < BROADCAST_BATCHES else work.join(due, "batch_idx")
+        due_work.write.partitionBy("wave").parquet(path)
+        work = spark.read.parquet(path)
+    else:
+        work = work.join(due, "batch_idx")
+    for wave in waves:
+        found = _probe(work.filter(F.col("wave") == wave).drop("wave"), transport, exts)
+        found.hint("rebalance", "batch_idx").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("batch_idx").parquet(target)
     return read_checkpoints(spark, target, facts["rows"])
 
 
-def _wave_starts(batches: DataFrame, per_wave: int) -> list:
-    """First batch of each wave that still has work; one row per wave."""
-    start = F.col("batch_idx") - F.col("batch_idx") % per_wave
-    return batches.select(start.alias("low")).distinct().orderBy("low").collect()
-
-
 def apply_probe(df: DataFrame, results: DataFrame, url_col: str, idx: str = "idx") -> DataFrame:
     """The manifest with its URLs replaced by the corrected ones."""
     fixed = results.select(F.col("idx").alias(idx), F.col("corrected_url").alias("_fixed"))

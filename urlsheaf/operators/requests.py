@@ -13,7 +13,7 @@ from urlsheaf.functions.names import (
     sanitize_label,
     sequential_name,
 )
-from urlsheaf.functions.text import strip
+from urlsheaf.functions.text import strip, whole_quotient
 from urlsheaf.functions.urls import extract_host
 from urlsheaf.operators.joins import attach_by_key
 from urlsheaf.session import materialise
@@ -57,18 +57,32 @@ def plan_requests(
     )
 
 
-def slice_by_host(requests: DataFrame, rows_per_slice: int = ROWS_PER_SLICE, key: str = "row_key") -> DataFrame:
+def slice_by_host(
+    requests: DataFrame,
+    rows_per_slice: int = ROWS_PER_SLICE,
+    key: str = "row_key",
+    cap: int = 1 << 30,
+    max_tasks: int = MAX_TASKS,
+) -> DataFrame:
     """Lay requests out by host, at most about ``rows_per_slice`` to a slice.
 
-    Adds ``host_slices``, by which a fetch divides the cap of a host that is
-    served by several tasks.  The number of tasks is stated, as adaptive
-    coalescing goes by bytes and would put a whole small manifest in one.
+    A host is served by at most as many slices as it may have requests at a
+    time (``cap``, or the ``host_cap`` of its requests), so that each can have
+    one.  Adds ``host_slices`` and ``slice_cap``, a slice's share of the cap;
+    the shares of a host's slices sum to its cap.  The
+    number of tasks is stated, as adaptive coalescing goes by bytes and would
+    put a whole small manifest in one; ``max_tasks`` bounds it.
     """
-    counts = materialise(requests.groupBy("host").agg(F.count("*").alias("_rows")), "hosts")
-    sized = counts.withColumn("host_slices", F.ceil(F.col("_rows") / rows_per_slice).cast("int"))
+    own = F.coalesce(F.min("host_cap"), F.lit(cap)) if "host_cap" in requests.columns else F.lit(cap)
+    counted = requests.groupBy("host").agg(F.count("*").alias("_rows"), F.greatest(own, F.lit(1)).alias("_cap"))
+    counts = materialise(counted, "hosts")
+    wanted = F.ceil(F.col("_rows") / rows_per_slice)
+    sized = counts.withColumn("host_slices", F.least(wanted, F.col("_cap")).cast("int"))
     rows = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
     parallelism = requests.sparkSession.sparkContext.defaultParallelism
-    tasks = min(max(parallelism, -(-rows // rows_per_slice)), MAX_TASKS)
+    tasks = min(max(parallelism, -(-rows // rows_per_slice)), max_tasks)
     looked = attach_by_key(requests, sized, "host", "_rows")
-    part = F.pmod(F.xxhash64(key), F.col("host_slices"))
-    return looked.withColumn("_slice", part).repartition(tasks, "host", "_slice").drop("_slice")
+    part = F.pmod(F.xxhash64(key), F.col("host_slices")).cast("int")
+    share = whole_quotient(F.col("_cap"), F.col("host_slices")) + (F.col("_slice") < F.col("_cap") % F.col("host_slices")).cast("int")
+    laid = looked.withColumn("_slice", part).withColumn("slice_cap", share.cast("int"))
+    return laid.repartition(tasks, "host", "_slice").drop("_slice", "_cap")

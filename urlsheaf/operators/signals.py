@@ -7,10 +7,13 @@ time span divided by the interval of them, however many requests it served.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Smoothing, latency thresholds, cooldown and pacing defaults.
 ALPHA = 0.3
@@ -68,48 +71,52 @@ def ema(df: DataFrame, cols: dict[str, str], alpha: float = ALPHA) -> DataFrame:
     ]
     first = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("interval_start"))).alias(f"_f_{c}") for c in cols]
     ends = rows.groupBy("host", "_blk").agg(*last, *first)
-    carried = ends.groupBy("host").agg(
-        F.array_sort(F.collect_list(F.struct("_blk", *[f"_e_{c}" for c in cols], *[f"_f_{c}" for c in cols]))).alias(
-            "_ends"
-        )
-    )
-    folds = [_carry(c, keep).alias(f"_c_{c}") for c in cols]
-    carries = carried.select("host", "_ends", *folds).select(
-        "host",
-        F.explode(F.arrays_zip(F.transform("_ends", lambda e: e["_blk"]).alias("_blk"), *[f"_c_{c}" for c in cols])).alias(
-            "_z"
-        ),
-    )
-    joined = rows.join(carries.select("host", "_z.*"), ["host", "_blk"])
+    carries = _carries(ends, list(cols), keep)
+    joined = rows.join(carries, ["host", "_blk"])
     result = [
         F.when(
-            F.col(f"_c_{c}.seen") | (F.col(f"_k_{c}") > 0),
-            F.pow(F.lit(keep), F.col(f"_k_{c}")) * (F.col(f"_c_{c}.value") + F.col(f"_s_{c}")),
+            F.col(f"_c_{c}_seen") | (F.col(f"_k_{c}") > 0),
+            F.pow(F.lit(keep), F.col(f"_k_{c}")) * (F.col(f"_c_{c}") + F.col(f"_s_{c}")),
         ).alias(out)
         for c, out in cols.items()
     ]
     return joined.select(*df.columns, *result)
 
 
-def _carry(c: str, keep: float) -> Column:
-    """Value each block starts from, in block order; a host's first value
-    stands in for the average before it."""
-    ends = F.col("_ends")
-    start = F.get(F.filter(F.transform(ends, lambda e: e[f"_f_{c}"]), lambda f: f.isNotNull()), F.lit(0))
-
-    def entry(seen: Column, value: Column) -> Column:
-        return F.struct(seen.alias("seen"), value.cast("double").alias("value"))
+def _carries(ends: DataFrame, cols: list[str], keep: float) -> DataFrame:
+    """Value each block starts from, and whether any came before it.
 
-    first = F.array(entry(F.lit(False), start))
-
-    def extend(done: Column, e: Column) -> Column:
-        before = F.element_at(done, -1)
-        k, s = e[f"_e_{c}"]["k"], e[f"_e_{c}"]["s"]
-        value = F.pow(F.lit(keep), k) * (before["value"] + s)
-        return F.concat(done, F.array(entry(before["seen"] | (k > 0), value)))
-
-    folded = F.aggregate(ends, first, extend)
-    return F.slice(folded, F.lit(1), F.size(ends))
+    One pass over the block ends in order, with one value per column as state;
+    a host's first value stands in for the average before it.
+    """
+    flat = [F.col(f"_e_{c}.{x}").alias(f"{x}_{i}") for i, c in enumerate(cols) for x in ("k", "s")]
+    firsts = [F.col(f"_f_{c}").cast("double").alias(f"f_{i}") for i, c in enumerate(cols)]
+    ordered = ends.select("host", "_blk", *flat, *firsts).repartition("host").sortWithinPartitions("host", "_blk")
+    n = len(cols)
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        host, values, seen = None, None, None
+        for pdf in batches:
+            made = []
+            for row in pdf.itertuples(index=False, name=None):
+                if values is None or row[0] != host:
+                    host, values, seen = row[0], [0.0] * n, [False] * n
+                out = [row[0], row[1]]
+                for i in range(n):
+                    k, s, f = row[2 + 2 * i], row[3 + 2 * i], row[2 + 2 * n + i]
+                    if k > 0 and not seen[i]:
+                        values[i] = f
+                    out += [values[i], seen[i]]
+                    if k > 0:
+                        values[i], seen[i] = keep**k * (values[i] + s), True
+                made.append(out)
+            yield pd.DataFrame(made, columns=names)
+
+    kinds = [T.StructField("host", ends.schema["host"].dataType), T.StructField("_blk", ends.schema["_blk"].dataType)]
+    for c in cols:
+        kinds += [T.StructField(f"_c_{c}", T.DoubleType()), T.StructField(f"_c_{c}_seen", T.BooleanType())]
+    names = [k.name for k in kinds]
+    return ordered.mapInPandas(fold, T.StructType(kinds))
 
 
 def avg_size_ema(df: DataFrame, alpha: float = SIZE_ALPHA) -> DataFrame:

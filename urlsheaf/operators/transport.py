@@ -8,11 +8,12 @@ detail, content, ttfb, retry_after, ts`` to requests.  ``first_working`` and
 from __future__ import annotations
 
 import re
-import threading
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -73,6 +74,9 @@ class TableTransport:
             self._column("retry_after", "string"),
             self._column("ts", "timestamp"),
         )
+        # a URL that was recorded twice still answers once
+        recorded = [c for c in looked.columns if c != "_url"]
+        looked = looked.groupBy("_url").agg(F.min(F.struct(*recorded)).alias("_a")).select("_url", "_a.*")
         known = F.col("_url").isNotNull()
         return requests.join(looked, F.col("url") == F.col("_url"), "left").select(
             *requests.columns,
@@ -87,7 +91,7 @@ class TableTransport:
 
     def first_working(self, df: DataFrame, key: str, candidates: str) -> DataFrame:
         """Adds ``pos, candidate`` of the first URL that answers with 200."""
-        good = self.answers.filter(F.col("status") == 200).select(F.col("url").alias("_u"))
+        good = self.answers.filter(F.col("status") == 200).select(F.col("url").alias("_u")).distinct()
         return _in_two_waves(df, key, candidates, good, F.col("_u").isNotNull())
 
     def first_size(self, df: DataFrame, key: str, candidates: str) -> DataFrame:
@@ -110,7 +114,9 @@ class TableTransport:
             F.coalesce(F.when(F.col("_content_type").contains("image"), by_head), by_range).alias("_image"),
         )
         size = F.when(F.col("pos") == F.col("_last"), F.col("_image")).otherwise(F.col("_any"))
-        told = looked.filter(F.col("_any").isNotNull())
+        told = looked.filter(F.col("_any").isNotNull()).groupBy("_u").agg(
+            F.max("_any").alias("_any"), F.max("_image").alias("_image")
+        )
         return _in_two_waves(df, key, candidates, told, size.isNotNull(), size_bytes=size)
 
 
@@ -139,18 +145,43 @@ def _in_two_waves(
     return served.unionByName(found.select(*df.columns, *names))
 
 
-def requests_session():
-    """Default HTTP client; imported on the executor."""
+# What a failure's text or class name holds, and the message it gets; the first that fits.
+FAILURES = (
+    ("connection refused", "Connection refused"),
+    ("connectionrefused", "Connection refused"),
+    ("connection reset", "Connection reset by peer"),
+    ("connectionreset", "Connection reset by peer"),
+    ("broken pipe", "Broken pipe"),
+    ("brokenpipe", "Broken pipe"),
+    ("disconnected", "Server disconnected"),
+    ("connection aborted", "Connection aborted"),
+    ("nameresolution", "Cannot connect to host"),
+    ("gaierror", "Cannot connect to host"),
+    ("newconnection", "Cannot connect to host"),
+    ("ssl", "Cannot connect to host"),
+    ("certificate", "Cannot connect to host"),
+    ("connectionerror", "Cannot connect to host"),
+)
+
+
+def requests_session(connections: int = 64):
+    """Default HTTP client, with as many kept connections as threads; imported on the executor."""
     import requests
+    from requests.adapters import HTTPAdapter
 
-    return requests.Session()
+    session = requests.Session()
+    for scheme in ("http://", "https://"):
+        session.mount(scheme, HTTPAdapter(pool_connections=connections, pool_maxsize=connections))
+    return session
 
 
 @dataclass(frozen=True)
 class HttpTransport:
     """Fetch over HTTP from the executors, with a bounded pool per task.
 
-    A ``host_cap`` column on the requests overrides ``per_host``.
+    A ``host_cap`` column on the requests overrides ``per_host``.  At most
+    ``waiting`` requests of a task wait for their host or have an answer that
+    is not yet handed on, which also bounds the bodies in memory.
     """
 
     session: Callable = requests_session
@@ -158,23 +189,17 @@ class HttpTransport:
     per_host: int = 8
     timeout: int = 30
     rows_per_yield: int = 256
+    waiting: int = 4096
     rows_per_slice: int = ROWS_PER_SLICE
     retry_after_status: int | None = None
     retry_wait = True
 
     def get(self, requests: DataFrame, attempt: int, timeout: int) -> DataFrame:
         ask = _Asker(self)
-        requests = slice_by_host(requests, self.rows_per_slice)
-        carried = requests.schema.fields
-        schema = T.StructType(carried + ANSWER.fields)
-
-        def answer(batch: pd.DataFrame, caps: pd.Series) -> pd.DataFrame:
-            got = ask.each(lambda row: ask.fetch(row[0], timeout), list(zip(batch["url"])), batch["host"], caps)
-            columns = pd.DataFrame(got, columns=ANSWER.fieldNames(), index=batch.index)
-            columns["status_code"] = columns["status_code"].astype("Int32")
-            return pd.concat([batch, columns], axis=1)
-
-        return requests.mapInPandas(_by_pieces(self, answer), schema)
+        laid = slice_by_host(requests, self.rows_per_slice, cap=self.per_host)
+        schema = T.StructType(laid.schema.fields + ANSWER.fields)
+        run = ask.rows("url", lambda url: ask.fetch(url, timeout), ANSWER)
+        return laid.mapInPandas(run, schema)
 
     def first_working(self, df: DataFrame, key: str, candidates: str) -> DataFrame:
         ask = _Asker(self)
@@ -188,40 +213,19 @@ class HttpTransport:
         ask = _Asker(self)
         extra = T.StructType.fromDDL(added)
         hosted = df if "host" in df.columns else df.withColumn("host", extract_host(F.get(candidates, F.lit(0))))
-        laid = slice_by_host(hosted, self.rows_per_slice, key)
+        laid = slice_by_host(hosted, self.rows_per_slice, key, self.per_host)
         schema = T.StructType(laid.schema.fields + extra.fields)
 
-        def try_in_order(row):
-            urls = list(row[0]) if row[0] is not None else []
+        def try_in_order(listed):
+            urls = list(listed) if listed is not None else []
             for pos, url in enumerate(urls):
                 hit = attempt(url, pos == len(urls) - 1)
                 if hit is not None:
                     return (pos, url, *hit)
             return (None,) * len(extra)
 
-        def answer(batch: pd.DataFrame, caps: pd.Series) -> pd.DataFrame:
-            got = ask.each(try_in_order, list(zip(batch[candidates])), batch["host"], caps)
-            columns = pd.DataFrame(got, columns=extra.fieldNames(), index=batch.index)
-            for name, dtype in (("pos", "Int32"), ("size_bytes", "Int64")):
-                if name in columns:
-                    columns[name] = columns[name].astype(dtype)
-            return pd.concat([batch, columns], axis=1)
-
-        return laid.mapInPandas(_by_pieces(self, answer), schema).select(*df.columns, *extra.fieldNames())
-
-
-def _by_pieces(transport: HttpTransport, answer: Callable) -> Callable:
-    """Answer small pieces, so that few bodies are in memory at a time."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for start in range(0, len(pdf), transport.rows_per_yield):
-                piece = pdf.iloc[start : start + transport.rows_per_yield]
-                slices = piece["host_slices"] if "host_slices" in piece else pd.Series(1, index=piece.index)
-                caps = piece["host_cap"].fillna(transport.per_host) if "host_cap" in piece else transport.per_host
-                yield answer(piece, (caps // slices).clip(lower=1))
-
-    return run
+        run = ask.rows(candidates, try_in_order, extra)
+        return laid.mapInPandas(run, schema).select(*df.columns, *extra.fieldNames())
 
 
 class _Asker:
@@ -240,17 +244,76 @@ class _Asker:
             self._client = self.t.session()
         return self._client
 
-    def each(self, call: Callable, rows: list, hosts: pd.Series, caps: pd.Series) -> list:
-        """Call for every row, at most ``cap`` at a time for one host."""
+    def rows(self, column: str, call: Callable, answer: T.StructType) -> Callable:
+        """For mapInPandas: every row with the answer to its ``column``."""
+        names = answer.fieldNames()
+        nullable = {"status_code": "Int32", "pos": "Int32", "size_bytes": "Int64"}
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            rows = (row for pdf in batches for row in pdf.itertuples(index=False, name=None))
+            first = next(batches, None)
+            if first is None:
+                return
+            columns = list(first.columns)
+            rows = chain(first.itertuples(index=False, name=None), rows)
+            at, host, cap = (columns.index(c) for c in (column, "host", "slice_cap"))
+            found = self.answered(rows, lambda row: call(row[at]), lambda row: row[host], lambda row: int(row[cap]))
+            while piece := list(islice(found, self.t.rows_per_yield)):
+                made = pd.DataFrame([row + tuple(got) for row, got in piece], columns=[*columns, *names])
+                for name in names:
+                    if name in nullable:
+                        made[name] = made[name].astype(nullable[name])
+                yield made
+
+        return run
+
+    def answered(self, rows: Iterator, call: Callable, host: Callable, cap: Callable) -> Iterator:
+        """``(row, answer)`` as answers come in, from one pool for the whole task.
+
+        A thread is only given a request whose host has room; others wait in
+        their host's queue.  Rows are read while fewer than ``waiting`` wait.
+        """
         client = self.client  # noqa: F841  created once, before the threads
-        gates = {h: threading.BoundedSemaphore(int(c)) for h, c in zip(hosts, caps)}
-
-        def gated(row, host):
-            with gates[host]:
-                return call(row)
-
+        queues: dict[str, deque] = {}
+        busy: dict[str, int] = {}
+        running: dict[Future, tuple] = {}
+        held, more = 0, True
+        ready: deque = deque()  # hosts that have a request waiting and room for it
         with ThreadPoolExecutor(self.t.concurrency) as pool:
-            return list(pool.map(gated, rows, hosts))
+            while True:
+                while len(running) < self.t.concurrency:
+                    if not ready and more and held < self.t.waiting:
+                        row = next(rows, None)
+                        if row is None:
+                            more = False
+                            continue
+                        name = host(row)
+                        queues.setdefault(name, deque()).append(row)
+                        held += 1
+                        if len(queues[name]) == 1 and busy.get(name, 0) < cap(row):
+                            ready.append(name)
+                        continue
+                    if not ready:
+                        break
+                    name = ready.popleft()
+                    row = queues[name].popleft()
+                    held -= 1
+                    busy[name] = busy.get(name, 0) + 1
+                    running[pool.submit(call, row)] = (row, name)
+                    if queues[name] and busy[name] < cap(queues[name][0]):
+                        ready.append(name)
+                    elif not queues[name]:
+                        del queues[name]
+                if not running:
+                    return
+                for done in wait(running, return_when=FIRST_COMPLETED).done:
+                    row, name = running.pop(done)
+                    busy[name] -= 1
+                    if not busy[name]:
+                        del busy[name]
+                    if name in queues and name not in ready and busy.get(name, 0) < cap(queues[name][0]):
+                        ready.append(name)
+                    yield row, done.result()
 
     def fetch(self, url: str | None, timeout: int) -> tuple:
         now = pd.Timestamp.now(tz="UTC")
@@ -271,7 +334,7 @@ class _Asker:
             if names & {"Timeout", "TimeoutError"}:
                 return (REQUEST_TIMEOUT, "timeout", None, None, None, None, now)
             kind = "connection" if names & {"RequestException", "ConnectionError"} else "other"
-            return (None, kind, str(e), None, None, None, now)
+            return (None, kind, failure_text(e) if kind == "connection" else str(e), None, None, None, now)
 
     def working(self, url: str, final: bool) -> tuple | None:
         try:
@@ -297,6 +360,24 @@ class _Asker:
             return None
 
 
+def failure_text(error: BaseException) -> str:
+    """One stable text for each kind of failure, without url, address or object.
+
+    The texts of connection failures are those that the retry rule looks for.
+    """
+    chained, at = [], error
+    while at is not None and at not in chained:
+        chained.append(at)
+        inner = [a for a in getattr(at, "args", ()) if isinstance(a, BaseException)]
+        at = getattr(at, "reason", None) if isinstance(getattr(at, "reason", None), BaseException) else None
+        at = at or (inner[0] if inner else chained[-1].__cause__ or chained[-1].__context__)
+    said = " ".join(f"{type(e).__name__} {e}".lower() for e in chained)
+    for phrase, text in FAILURES:
+        if phrase in said:
+            return text
+    return type(error).__name__
+
+
 def _seconds(header: str | None) -> float | None:
     try:
         return float(header) if header is not None else None

@@ -260,6 +260,51 @@ def _(spark, sf):
     return paced.select("event_id", "host", "delay", F.round("release", 3).alias("release"), "rate")
 
 
+@query(
+    "pace_requests_changing",
+    f"""WITH RECURSIVE {LOG}, numbered AS MATERIALIZED (
+  SELECT event_id, host, epoch_us(ts) // 1000000 AS arrival, (1 + event_id % 5) * 600.0 / 4 AS delay,
+         row_number() OVER (PARTITION BY host ORDER BY epoch_us(ts) // 1000000, event_id) AS i FROM log),
+paced AS (
+  SELECT event_id, host, i, CAST(arrival AS DOUBLE) AS release FROM numbered WHERE i = 1
+  UNION ALL
+  SELECT n.event_id, n.host, n.i, greatest(CAST(n.arrival AS DOUBLE), p.release + n.delay)
+  FROM paced p JOIN numbered n ON n.host = p.host AND n.i = p.i + 1)
+SELECT event_id, host, release FROM paced""",
+)
+def _(spark, sf):
+    rows = request_log(spark, sf).select(
+        "event_id",
+        "host",
+        F.floor(F.unix_micros("ts") / 1e6).cast("double").alias("arrival"),
+        ((1 + F.col("event_id") % 5) * 600.0).alias("rtprop"),
+        F.lit(4).alias("c"),
+    )
+    paced = pacing.pace_requests(rows, "host", "arrival", "rtprop", "c", "event_id")
+    return paced.select("event_id", "host", "release")
+
+
+@query(
+    "row_index_union",
+    f"""WITH {DOCS}, {MANIFEST}, both_tables AS (SELECT url FROM docs UNION ALL SELECT url FROM manifest)
+SELECT row_number() OVER () - 1 AS row_idx FROM both_tables""",
+)
+def _(spark, sf):
+    both = manifests.concat_all(docs(spark, sf).select("url"), manifest(spark, sf).select("url"))
+    return ordering.row_index(both).select("row_idx")
+
+
+@query(
+    "partition_simple_joined",
+    """SELECT CAST(g AS INTEGER) AS "group", total // 7 + CASE WHEN g <= total % 7 THEN 1 ELSE 0 END AS n_rows
+FROM (SELECT count(*) AS total FROM supplier JOIN nation ON s_nationkey = n_nationkey), generate_series(1, 7) AS s(g)""",
+)
+def _(spark, sf):
+    nation = table(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    joined = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey").join(nation, "s_nationkey")
+    return partition.rows_per_partition(partition.partition_simple(joined, 7))
+
+
 @query(
     "preview",
     f"""WITH {MANIFEST} SELECT page_id, url, label, (SELECT count(*) FROM manifest) AS n_rows, 3 AS n_columns

@@ -161,6 +161,30 @@ def _(spark, sf):
     return performance_log(spark, sf).withColumn("run", _run()).drop("file", "line_no")
 
 
+@query(
+    "read_performance_log_layouts",
+    """SELECT user_id AS run, epoch_us(ts) AS timestamp, CAST(trunc(value) AS BIGINT) AS workers_connected,
+  event_id AS tasks_done, CAST(json_extract_string(props, '$.k') AS BIGINT) AS tasks_failed,
+  event_id * 1000 AS bytes_received FROM events""",
+)
+def _(spark, sf):
+    """One log per user, each with a layout of its own."""
+    events = table(spark, sf, "events")
+    stamp = F.unix_micros(F.col("ts").cast("timestamp"))
+    names = ["workers_connected", "tasks_done", "tasks_failed", "bytes_received"]
+    fields = [F.col("value").cast("int"), F.col("event_id"), F.get_json_object("props", "$.k"), F.col("event_id") * 1000]
+    own = F.concat(F.lit("x"), F.col("user_id").cast("string"))
+    title = F.concat(F.lit(f"# timestamp {' '.join(names[:2])} "), own, F.lit(f" {' '.join(names[2:])}"))
+    value = F.concat_ws(" ", *[f.cast("string") for f in (stamp, *fields[:2], F.lit(0), *fields[2:])])
+    rows = events.select("user_id", stamp.alias("at"), value.alias("value"))
+    heads = events.select("user_id").distinct().select("user_id", F.lit(-1).cast("long").alias("at"), title.alias("value"))
+    out = scratch_path(spark, "layouts")
+    laid = rows.unionByName(heads).repartition("user_id").sortWithinPartitions("user_id", "at")
+    laid.select("user_id", "value").write.partitionBy("user_id").text(out)
+    run = F.regexp_extract("file", r"user_id=(\d+)", 1).cast("long").alias("run")
+    return read_performance_log(spark, f"{out}/user_id=*").withColumn("run", run).drop("file", "line_no")
+
+
 _PERF_SUMS = """sums AS (
   SELECT run, min(ts) AS t0, max(ts) AS t1, max(workers) AS peak_workers, arg_max(event_id, ts) AS tasks_completed,
          arg_max(failed, ts) AS tasks_failed, arg_max(event_id, ts) * 1000 AS bytes_received FROM perf GROUP BY run),

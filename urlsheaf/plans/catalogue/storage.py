@@ -171,6 +171,16 @@ def _(spark, sf):
     return read_checkpoints(spark, path, rows.count())
 
 
+@query("probe_resumed", f"WITH {PROBED} SELECT idx, corrected_url, extension, status, idx // 256 AS batch_idx FROM probed")
+def _(spark, sf):
+    """An earlier run was broken off inside a batch, and never began others."""
+    whole, path = scratch_path(spark, "whole"), scratch_path(spark, "checkpoints")
+    probed(spark, sf, checkpoint=whole)
+    part = F.when(F.col("batch_idx") % 2 == 0, F.col("idx") % 3 != 0).otherwise(F.col("batch_idx") % 3 == 0)
+    spark.read.parquet(whole).filter(part).write.partitionBy("batch_idx").parquet(path)
+    return probed(spark, sf, checkpoint=path)
+
+
 @query("completed_batches", "SELECT DISTINCT doc_id // 256 AS batch_idx FROM documents")
 def _(spark, sf):
     path = scratch_path(spark, "checkpoints")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -19,7 +18,14 @@ from urlsheaf.operators.partition import (
 from urlsheaf.operators.requests import plan_requests
 from urlsheaf.session import materialise
 from urlsheaf.sinks.reports import overview_documents, write_overview
-from urlsheaf.sinks.samples import shard_names, write_imagefolder, write_tar_shards, write_webdataset
+from urlsheaf.sinks.samples import (
+    ROWS_PER_SHARD,
+    prepare_target,
+    shard_names,
+    write_imagefolder,
+    write_tar_shards,
+    write_webdataset,
+)
 
 HOST, SIMPLE, LABEL = "host", "simple", "label"
 
@@ -41,6 +47,7 @@ class Job:
     timeout: int = 30
     success_codes: tuple | range = (200,)
     compress: bool = True
+    rows_per_shard: int = ROWS_PER_SHARD
 
 
 def _split(df: DataFrame, job: Job) -> DataFrame:
@@ -103,17 +110,39 @@ def collect_dataset(
     Shards go to ``<out>/shards`` with their overview inside, the overviews
     also to ``<out>/overviews``.  Gives the outcome table.
     """
-    began = time.monotonic()
+    targets = [f"{out}/shards" if tar else f"{out}/samples", f"{out}/overviews"]
+    for target in targets:  # before the first request is sent
+        prepare_target(target, mode)
     outcomes = collect_outcomes(df, transport, job, "", work_dir)
-    sharded = shard_names(outcomes)
-    inputs = {"url_column": job.url_col, "label_column": job.label or "", "output_format": job.fmt, "naming_mode": job.naming}
+    sharded = shard_names(outcomes, job.rows_per_shard)
+    suffix = (".tar.gz" if job.compress else ".tar") if tar else None
     documents = materialise(
-        overview_documents(sharded.drop("content"), inputs, time.monotonic() - began, "shard"), "overviews"
+        overview_documents(sharded.drop("content"), _script_inputs(job, out), None, "shard", suffix), "overviews"
     )
     if tar:
-        write_tar_shards(sharded, f"{out}/shards", job.fmt, job.compress, overviews=documents, mode=mode)
+        write_tar_shards(sharded, targets[0], job.fmt, job.compress, overviews=documents, mode=mode)
     else:
         writer = write_imagefolder if job.fmt == IMAGEFOLDER else write_webdataset
-        writer(outcomes, f"{out}/samples", mode)
-    write_overview(documents, f"{out}/overviews", "shard", mode)
+        writer(outcomes, targets[0], mode)
+    write_overview(documents, targets[1], "shard", mode)
     return outcomes
+
+
+def _script_inputs(job: Job, out: str) -> dict:
+    """What the job was called with, as its overviews tell it."""
+    codes = job.success_codes
+    listed = f"{codes.start}-{codes.stop - 1}" if isinstance(codes, range) else ",".join(map(str, codes))
+    return {
+        "output": out,
+        "output_format": job.fmt,
+        "url_column": job.url_col,
+        "label_column": job.label or "",
+        "naming_mode": job.naming,
+        "naming_pattern": job.pattern,
+        "partition_method": job.method,
+        "partitions": job.groups,
+        "timeout_sec": job.timeout,
+        "max_attempts": job.max_attempts,
+        "success_codes": listed,
+        "compress": job.compress,
+    }

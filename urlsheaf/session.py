@@ -31,6 +31,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/urlsheaf/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on any file system that Spark reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return a frame that reads the written table."""
     path = scratch_path(df.sparkSession, name)

@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urlsheaf.operators.outcomes import error_breakdown, overview_summary
+from urlsheaf.operators.outcomes import count_errors, overview_summary
 from urlsheaf.sinks.samples import MemberFiles, save_members
 
 
-def overview_documents(outcomes: DataFrame, inputs: dict[str, str], elapsed, by: str) -> DataFrame:
-    """``by`` and ``overview``: the JSON document of each shard or partition."""
+def overview_documents(
+    outcomes: DataFrame, inputs: dict, elapsed, by: str, suffix: str | None = ".tar.gz"
+) -> DataFrame:
+    """``by`` and ``overview``: the JSON document of each shard or partition.
+
+    ``suffix`` is that of the archives, None without archives.  ``elapsed`` of
+    None takes the time from a shard's first request to its last answer.
+    """
     summary = overview_summary(outcomes, elapsed=elapsed, by=[by])
-    counted = error_breakdown(outcomes, [by])
+    counted = count_errors(outcomes, [by])
     entry = F.struct(
         (-F.col("n")).alias("rank"), "status_code", "error", F.col("n").alias("count")
     )
@@ -30,7 +36,7 @@ def overview_documents(outcomes: DataFrame, inputs: dict[str, str], elapsed, by:
             "elapsed_sec",
             F.col("avg_speed_mbps").alias("avg_speed_MBps"),
             F.lit(False).alias("shutdown_requested"),
-            F.concat(F.col(by).cast("string"), F.lit(".tar.gz")).alias("tar_path"),
+            (F.concat(F.col(by).cast("string"), F.lit(suffix)) if suffix else F.lit(None).cast("string")).alias("tar_path"),
         ).alias("summary"),
         F.transform(
             F.coalesce("_errors", F.array()), lambda e: F.struct(e["status_code"], e["error"], e["count"])

@@ -18,9 +18,14 @@ def _checkpoints(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
+def batch_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """``batch_idx, n_rows`` of the batches that have a checkpoint; reads no data column."""
+    return _checkpoints(spark, path).groupBy("batch_idx").agg(F.count("*").alias("n_rows"))
+
+
 def completed_batches(spark: SparkSession, path: str) -> DataFrame:
-    """Batches that have a checkpoint; reads no data column."""
-    return _checkpoints(spark, path).select("batch_idx").distinct()
+    """Batches that have a checkpoint."""
+    return batch_sizes(spark, path).select("batch_idx")
 
 
 def read_checkpoints(spark: SparkSession, path: str, expected: int) -> DataFrame:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urlsheaf.session import materialise
+
 # The columns a performance log must have.
 REQUIRED = ("timestamp", "workers_connected", "tasks_done", "tasks_failed", "bytes_received")
-MAX_LAYOUTS = 64
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -28,33 +27,31 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def read_performance_log(spark: SparkSession, path: str) -> DataFrame:
-    """``file, line_no`` and the required columns, located by each file's header."""
+    """``file, line_no`` and the required columns, located by each file's header.
+
+    Logs may differ in layout: a line is cut by the header of its own file.  A
+    log without a required column, or without a line below its header, is
+    rejected.
+    """
     lines = _lines(spark, [path])
     starts = lines.filter(F.col("line_no.block") == 0)
     headers = starts.groupBy("file").agg(F.min_by("value", "line_no").alias("header"))
-    found = [r["header"] for r in headers.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
-    if not found:
+    names = F.split(F.regexp_replace("header", r"^[#\s]+|\s+$", ""), r"\s+")
+    places = [F.array_position(names, c).cast("int").alias(f"_at_{c}") for c in REQUIRED]
+    headers = materialise(headers.select("file", "header", *places), "headers")
+    if headers.isEmpty():
         raise ValueError(f"no performance log at {path}")
-    if len(found) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different headers at {path}")
-    parts = []
-    for header in found:
-        names = header.strip().lstrip("# ").split()
-        missing = [c for c in REQUIRED if c not in names]
-        if missing:
-            raise ValueError(f"missing required column(s) {', '.join(missing)} in performance log")
-        source = lines
-        if len(found) > 1:
-            files = headers.filter(F.col("header") == header).select("file").collect()
-            source = _lines(spark, [r["file"] for r in files])
-        fields = F.split(F.trim("value"), r"\s+")
-        parts.append(
-            source.filter(F.col("value") != header)
-            .filter(F.trim("value") != "")
-            .select(
-                "file",
-                "line_no",
-                *[F.get(fields, F.lit(names.index(c))).try_cast("long").alias(c) for c in REQUIRED],
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    lacking = [F.when(F.col(f"_at_{c}") == 0, F.lit(c)) for c in REQUIRED]
+    missing = headers.select(F.concat_ws(", ", *lacking).alias("m")).filter("m <> ''").first()
+    if missing:
+        raise ValueError(f"missing required column(s) {missing['m']} in performance log")
+    fields = F.split(F.trim("value"), r"\s+")
+    below = lines.join(headers, "file").filter((F.col("value") != F.col("header")) & (F.trim("value") != ""))
+    bare = headers.join(below.select("file"), "file", "left_anti").select("file").first()
+    if bare:
+        raise ValueError(f"performance log without a line below its header: {bare['file']}")
+    return below.select(
+        "file",
+        "line_no",
+        *[F.get(fields, F.col(f"_at_{c}") - 1).try_cast("long").alias(c) for c in REQUIRED],
+    )
