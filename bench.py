@@ -38,6 +38,9 @@ HEADLINE = [
     "pace_requests",
     "stream_interval_metrics",
     "timing_breakdown",
+    "write_imagefolder",
+    "write_tar_shards",
+    "collect_csv",
 ]
 
 
