@@ -21,13 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from urlsheaf.llm.common import text_slices
+from urlsheaf.llm.common import small_batches, text_slices
 
 #: Size of the weight vector, and with it the bound of what is broadcast.
 DIM = 1 << 18
 #: Most labelled rows that the model is fitted on: those of the smallest hash of their id.
 SAMPLE = 10_000
-EPOCHS = 3
+EPOCHS = 10
 WORDS = re.compile(r"\w+|[^\w\s]+")
 #: Words that a worker keeps the hash of.
 CACHE = 200_000
@@ -81,10 +81,10 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
 class Ftrl:
     """Settings of the updates."""
 
-    alpha: float = 0.5
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 0.05
-    l2: float = 0.05
+    l1: float = 0.005
+    l2: float = 0.001
     epochs: int = EPOCHS
 
     def fit(self, rows: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndarray, float]:
@@ -124,7 +124,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, may_learn: C
         .limit(limit)
     )
     # at most ``limit`` short rows are broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("h", "text", "label")
+    return small_batches(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("h", "text", "label")
 
 
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,19 +170,25 @@ def train(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, lim
 def with_score(docs: DataFrame, weights: np.ndarray, keep: list[str], score: str = "score") -> DataFrame:
     """Columns ``keep`` of ``docs`` and the score of its text."""
 
+    # Arrow batches by plain names, as those of ``docs`` may hold dots
+    columns = list(dict.fromkeys([*keep, "text"]))
+    plain = [f"c{k}" for k in range(len(columns))]
+    text, kept = plain[columns.index("text")], plain[: len(keep)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_slices(batches):
+        for part, texts in text_slices(batches, text):
             scores = []
-            for text in texts:
-                index, values = features(text)
+            for t in texts:
+                index, values = features(t)
                 linear = float(weights[index] @ values) + weights[DIM]
                 scores.append(1 / (1 + math.exp(-max(-35.0, min(35.0, linear)))))
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in keep), pa.array(scores, pa.float64())], [*keep, score]
+                [*(part.column(c) for c in kept), pa.array(scores, pa.float64())], [*kept, "score"]
             )
 
-    read = docs.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"])))
-    return read.mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), T.StructField(score, T.DoubleType())]))
+    read = small_batches(docs).select(*(F.col(f"`{c}`") for c in columns)).toDF(*plain)
+    schema = T.StructType([*(read.schema[c] for c in kept), T.StructField("score", T.DoubleType())])
+    return read.mapInArrow(run, schema).toDF(*keep, score)
 
 
 def fold(modulus: int, remainder: int) -> Column:
