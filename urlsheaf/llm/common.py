@@ -18,6 +18,16 @@ BLANK = "[\\x20\\x09-\\x0D]"
 SLICE = 256
 
 
+#: Bytes of a batch that the JVM hands to Python: texts may be long, and buffers are held off the heap.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df`` itself; from now on the session hands Python batches of at most about ``BATCH_BYTES``."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

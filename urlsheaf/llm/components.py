@@ -17,7 +17,7 @@ from urlsheaf.llm.common import Scratch
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("b", "a"))
     least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-    return both.where("b > a").join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.where("b > a").join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -34,16 +34,17 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     an edge to another node do not appear.  No edges: no rows.
     """
     name = "star-0"
-    now = scratch.keep(edges.where("a != b").select("a", "b").distinct(), name)
-    mark, turn = None, 0
+    now = scratch.keep(edges.where("a != b").select("a", "b"), name)
+    turn = 0
     while True:
         turn += 1
         after = scratch.keep(_small_star(_large_star(now)), f"star-{turn}")
         scratch.drop(name)
         name, now = f"star-{turn}", after
-        row = now.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.expr("sum(xxhash64(b, a) % 1000003)")).first()
-        if tuple(row) == mark:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-                now.select(F.col("b"), F.col("b"))
-            ).distinct()
-        mark = tuple(row)
+        # done if every node points to one other, which points nowhere
+        twice = now.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
+        chained = now.join(now.select(F.col("a").alias("b")), "b", "left_semi").select("a")
+        if twice.unionByName(chained).isEmpty():
+            break
+    ends = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return ends.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

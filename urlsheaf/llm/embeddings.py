@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urlsheaf.llm.common import Scratch, whole_groups
+from urlsheaf.llm.common import Scratch, small_batches, whole_groups
 from urlsheaf.llm.components import components
 
 COSINE = 0.9
@@ -165,7 +165,7 @@ def _compared(rows: DataFrame, cosine: float, block: int | None) -> DataFrame:
 
 def class_links(classes: DataFrame, scratch: Scratch, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
     """``(a, b)``, a < b: classes ``(cid, vector)`` whose cosine is at least ``cosine``, as far as they share a filter."""
-    rows = classes.select("cid", "vector").mapInArrow(_filtered, "key long, cid long, vector array<float>")
+    rows = small_batches(classes).select("cid", "vector").mapInArrow(_filtered, "key long, cid long, vector array<float>")
     found = scratch.keep(_compared(rows, cosine, block), "cap-links")
     large = found.where("b IS NULL").select("key", F.col("a").alias("cid"), "vector")
     counts = large.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urlsheaf.llm.common import UPPER, text_slices
+from urlsheaf.llm.common import UPPER, small_batches, text_slices
 
 #: Phrases whose every place is counted, and their labels.
 BASE = {
@@ -150,7 +150,7 @@ def document_frequencies(docs: DataFrame) -> tuple[dict[bytes, int], int]:
             [pa.array([w.decode() for w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
         )
 
-    rows = docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = small_batches(docs).select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     found = {r.word.encode(): r.n for r in rows}
     return found, found.pop(b"", 0)
 

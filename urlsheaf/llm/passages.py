@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urlsheaf.llm.common import Scratch, text_slices, whole_groups
+from urlsheaf.llm.common import Scratch, small_batches, text_slices, whole_groups
 from urlsheaf.llm.suffixes import permuted_common_prefixes, suffix_array
 
 LENGTH = 100
@@ -277,7 +277,7 @@ def _sorted_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def covered_stretches(docs: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """``(doc_id, tie, start, stop)``: bytes covered by a window that also starts earlier; stretches may overlap."""
-    cut = docs.select("doc_id", "text").mapInArrow(_cut, _CHUNK_TYPE)
+    cut = small_batches(docs).select("doc_id", "text").mapInArrow(_cut, _CHUNK_TYPE)
     dealt = cut.repartition("key").sortWithinPartitions(*_CHUNK)
     met = scratch.keep(dealt.mapInArrow(_met, _CHUNK_TYPE), "passage-chunks")
     tie = F.shiftrightunsigned("at", 48).alias("tie")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urlsheaf.llm.common import UPPER, Scratch, text_slices, whole_groups
+from urlsheaf.llm.common import Scratch, UPPER, small_batches, text_slices, whole_groups
 from urlsheaf.llm.components import components
 
 RADIUS = 4
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
             found = np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found)], ["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return small_batches(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def variants(fp: Column) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from urlsheaf.llm.common import text_slices
+from urlsheaf.llm.common import small_batches, text_slices
 from urlsheaf.llm.quality import fold, labelled_sample
 
 #: Most labelled rows that the model is fitted on, and most terms it has: the bounds of what one task and the driver see.
@@ -178,5 +178,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", lim
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("score", T.DoubleType())])
-    scored = docs.select("doc_id", "text").mapInArrow(run, schema)
+    scored = small_batches(docs).select("doc_id", "text").mapInArrow(run, schema)
     return scored.select("doc_id", F.coalesce(fold(3, 1), F.lit(False)).alias("held_out"), "score")
