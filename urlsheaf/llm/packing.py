@@ -12,6 +12,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urlsheaf.llm.common import Scratch, text_slices
+from urlsheaf.llm.common import Scratch, small_batches, text_slices
 
 CAPACITY = 4096
 END = 1
@@ -43,6 +44,9 @@ _GAP = re.compile("[ \t\n\r\x0b\x0c]")
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 _RUNS = re.compile(f"[{_LATIN}]+|[^{_LATIN}]+")
 _PLAIN = re.compile(f"[!-&(-~{_LATIN}]+")
+#: How byte-level vocabularies spell bytes: printable ones as they are, the others as the characters from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 #: Blank for Python, not for the tokenizer.
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -73,12 +77,21 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # names of special tokens are ordinary text
-        self.parts = _Ids(self._encode)
+        self.model = self.tokenizer.model
+        self.parts = _Ids(self._part)
         self.words = _Ids(self._word)
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _part(self, part: str) -> bytes:
+        if not part.isalpha():
+            return self._encode(part)
+        # a run of letters is one word of the model, in its spelling of bytes
+        spelled = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTES)
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _word(self, word: str) -> bytes:
         if not _PLAIN.fullmatch(word):
             return self._encode(word)
@@ -123,7 +136,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return small_batches(docs).select("doc_id", "text").mapInArrow(
         run, "doc_id long, piece int, start long, length long, ids_crc32 long"
     )
 
