@@ -26,6 +26,7 @@ from urlsheaf.llm import (
     embeddings,
     licences,
     lines,
+    nearcopies,
     packing,
     passages,
     quality,
@@ -739,6 +740,83 @@ def test_leaks_nothing(spark, nothing, docs):
     assert decontaminate.without_leaks(docs, items.limit(0)).count() == docs.count()
 
 
+# pipeline: near copies
+
+
+def plain_set(text):
+    found = re.findall(r"[^\x20\x09-\x0d]+", lower(text or ""))
+    return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
+
+
+def plain_similar(rows, least=0.8):
+    """Pairs of rows by similarity, and each id's group."""
+    named = [r for r in rows if r[0] is not None]
+    sets = [plain_set(t) for _, t in named]
+    pairs = []
+    for i, j in itertools.combinations(range(len(named)), 2):
+        a, b = sets[i], sets[j]
+        shared = len(a & b)
+        if a == b or (shared and shared / (len(a) + len(b) - shared) >= least):
+            pairs.append((i, j))
+    own, best = groups(len(named), pairs), {}
+    for g, (d, _) in zip(own, named):
+        best[g] = min(d, best.get(g, d))
+    return [(d, best[g]) for g, (d, _) in zip(own, named)]
+
+
+def similar_rows():
+    """Pairs around 0.8, few of which are within four bits, next to short texts, chains and a group of close copies."""
+    random.seed(11)
+    words = ["".join(random.choices("abcdefghij", k=random.randrange(2, 7))) for _ in range(3000)]
+    rows = []
+    for k in range(150):
+        n = random.choice([30, 60, 120, 400])
+        text = random.choices(words, k=n)
+        copy = list(text)
+        for at in range(n // 60 if k % 2 else n // 40):
+            copy[random.randrange(n)] = "changed"
+        if k % 3 == 0:
+            copy += random.choices(words, k=n // 12)
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(copy).upper())]
+    chain = random.choices(words, k=300)
+    for k in range(6):
+        chain = chain[15:] + random.choices(words, k=15)
+        rows.append((1000 + k, " ".join(chain)))
+    base = random.choices(words, k=200)
+    for k in range(60):
+        copy = list(base)
+        copy[random.randrange(200)] = f"w{k}"
+        rows.append((2000 + k, "\t".join(copy)))
+    return rows + [(3000, "one two"), (3001, "ONE  two"), (3002, "one"), (3003, None), (3004, " "), (None, "one two")]
+
+
+@pytest.mark.parametrize("block", [12, 20_000])
+def test_near_copies(spark, rows, block):
+    """All groups of the brute force, with buckets cut into blocks too."""
+    made = similar_rows()
+    want = plain_similar(made)
+    near = sum(d != c for d, c in want)
+    assert near > 150
+    assert ordered(map(tuple, nearcopies.similar_groups(frame(spark, made), block=block).collect())) == ordered(want)
+    four_bits = {(d, c) for d, _, c in plain_components([(d, plain_fingerprint(t)) for d, t in made])}
+    assert sum(d != c for d, c in four_bits if d is not None and d < 1000) < near / 3
+
+
+def test_pipeline_keeps_one_near_copy(spark, docs, rows):
+    import corpus_pipeline
+
+    for made in (similar_rows(), rows):
+        want = {d for d, c in plain_similar(made) if d == c}
+        got = corpus_pipeline.one_of_each_group(spark, frame(spark, made), DATA)
+        assert got.columns == docs.columns
+        assert Counter(r.doc_id for r in got.collect()) == Counter(d for d, _ in made if d is None or d in want)
+
+
+def test_near_copies_nothing(nothing):
+    assert nearcopies.similar_groups(nothing).count() == 0
+    assert nearcopies.keep_one_similar(nothing).count() == 0
+
+
 # pipeline
 
 
