@@ -733,6 +733,34 @@ def test_leaks(spark):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(d for d, _ in rows if d not in {x for x, _ in want})
 
 
+def check_leaks(spark, rows, items):
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, -r.start_word) for r in decontaminate.find_leaks(frame(spark, rows), table).collect()}
+    want = plain_leaks(rows, items)
+    assert set(got) == set(want)
+    assert all(abs(got[k][0] - v[0]) < 1e-12 and got[k][1] == v[1] for k, v in want.items())
+    return want
+
+
+def letters(n):
+    return [hashlib.md5(str((n, k)).encode()).hexdigest()[:8] for k in range(n)]
+
+
+def test_leaks_in_another_order(spark):
+    """Items whose parts stand in the other order, inside longer documents."""
+    rows, items = [], []
+    for size in (45, 55, 59, 100, 200):
+        item = letters(size)
+        items.append((size, " ".join(item)))
+        for cut in (size // 8, 14, size // 2, size - 5):
+            for around in (0, 7, 60):
+                text = letters(1000 + around)[:around] + item[cut:] + item[:cut] + letters(2000 + around)[:around]
+                rows.append((len(rows), " ".join(text)))
+        parts = [item[: size // 3], item[size // 3 : size // 2], item[size // 2 :]]
+        rows.append((len(rows), " ".join([*letters(77), *parts[2], *parts[0], *parts[1], *letters(78)])))
+    assert len(check_leaks(spark, rows, items)) > 50
+
+
 def test_leaks_nothing(spark, nothing, docs):
     items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert decontaminate.find_leaks(nothing, items).count() == 0

@@ -2,8 +2,8 @@
 
 A window is as many consecutive words of a document as an item has.  Its weight vector counts each of its five-word
 shingles; similarity is the weighted Jaccard index, the sum of smaller counts over the sum of larger ones.  A similar
-window shares most of its shingles with the item, so windows are only cut where enough of an item's shingles stand,
-at every start that the similarity leaves possible.  They are fingerprinted over the counted shingles and looked up
+window shares most of its shingles with the item, in whatever order, so windows are only cut where enough of an item's
+shingles stand: every window that holds as many places of them as the similarity asks for.  They are fingerprinted over the counted shingles and looked up
 by blocks: of ``RADIUS + 1`` blocks at least one is equal if at most ``RADIUS`` bits differ, so the index guarantees
 all fingerprints within the radius.  What it finds is verified by the exact similarity.
 
@@ -14,7 +14,6 @@ A similarity of 0.8 is an angle at which 10 of 64 bits differ on average, 3 bein
 from __future__ import annotations
 
 import functools
-import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,28 +123,25 @@ def find_leaks(
     hits = scratch.keep(hits.distinct(), "leak-hits")
     doc = ["doc_id", "text_hash"]
     pairs = hits.join(posting, "shingle").select(*doc, "n_doc", "at", "item_at", "item_key", "n")
-    enough = F.ceil(F.col("n") * F.lit(share) - F.lit(1e-9))
+    enough = F.ceil(F.col("n") * F.lit(share) - F.lit(1e-9)).cast("int")
     pairs = scratch.keep(pairs, "leak-pairs")
     rich = (
-        pairs.groupBy(*doc, "item_key", "n")
-        .agg(F.countDistinct("at").alias("places"))
-        .where(F.col("places") >= enough)
-        .select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), F.col("item_key").alias("i"))
+        pairs.groupBy(*doc, "n_doc", "item_key", "n")
+        .agg(F.array_sort(F.collect_set("at")).alias("p"))
+        .select("*", enough.alias("enough"), F.least("n", "n_doc").alias("size"))
+        .where(F.size("p") >= F.col("enough"))
     )
-    near = pairs.join(
-        rich,
-        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")) & (F.col("item_key") == F.col("i")),
-        "left_semi",
-    )
-    # a shared shingle stands at most n - enough places off
-    slack = (F.col("n") - enough).cast("int")
-    last = F.greatest(F.col("n_doc") - F.col("n"), F.lit(0))
-    shift = F.explode(F.sequence(-slack, slack)).alias("shift")
-    aligned = near.select(*doc, "item_key", "n", last.alias("last"), (F.col("at") - F.col("item_at")).alias("a")).distinct()
-    starts = aligned.select(*doc, "item_key", "n", "last", "a", shift).select(
-        *doc, "item_key", "n", F.least(F.greatest(F.col("a") + F.col("shift"), F.lit(0)), F.col("last")).alias("start")
-    )
-    cuts = starts.distinct().groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).agg(
+
+    def from_place(i: Column) -> Column:
+        """Starts of windows whose first shared shingle is the i-th and that hold enough."""
+        before = F.when(i > 1, F.element_at("p", F.greatest(i - 1, F.lit(1))) + 1).otherwise(0)
+        low = F.greatest(F.element_at("p", i + F.col("enough") - 1) - F.col("size") + 1, before)
+        high = F.least(F.element_at("p", i), F.col("n_doc") - F.col("size"))
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    first = F.sequence(F.lit(1), F.size("p") - F.col("enough") + 1)
+    starts = rich.select(*doc, "item_key", "n", F.explode(F.flatten(F.transform(first, from_place))).alias("start"))
+    cuts = starts.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).agg(
         F.collect_list(F.struct("item_key", "n", "start")).alias("cuts")
     )
     cuts = scratch.keep(cuts, "leak-cuts")
@@ -199,8 +195,3 @@ def without_leaks(docs: DataFrame, items: DataFrame, least: float = SIMILARITY)
     """The rows of ``docs``, all columns, whose document holds no item.  Rows without doc_id are one document."""
     leaks = find_leaks(docs, items, least).select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_id"]), "left_anti")
-
-
-def leak_slack(n: int, least: float = SIMILARITY) -> int:
-    """How far a window may be shifted against a shared shingle of an item of ``n`` shingles."""
-    return n - math.ceil(n * 2 * least / (1 + least) - 1e-9)
