@@ -761,6 +761,18 @@ def test_leaks_in_another_order(spark):
     assert len(check_leaks(spark, rows, items)) > 50
 
 
+def test_leaks_of_short_documents(spark):
+    """Documents that are an item without its beginning or end, down to a similarity of 0.8 and below."""
+    rows, items = [], []
+    for size in (20, 59, 100, 200):
+        item = letters(size)
+        items.append((size, " ".join(item)))
+        for share in range(76, 91):
+            left = size * share // 100
+            rows += [(len(rows), " ".join(item[:left])), (len(rows) + 1, " ".join(item[-left:]))]
+    assert len(check_leaks(spark, rows, items)) > 60
+
+
 def test_leaks_nothing(spark, nothing, docs):
     items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert decontaminate.find_leaks(nothing, items).count() == 0

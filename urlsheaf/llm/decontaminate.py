@@ -97,7 +97,7 @@ def find_leaks(
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    share = 2 * least / (1 + least)  # of an item's shingles that a similar window must hold
+    share = least / (1 + least)  # of the shingles of item and window together that must be shared
     item = scratch.keep(items.select("item_id", shingles("text", width).alias("shingles")), "leak-items")
     item = item.where(F.size("shingles") > 0).select(
         F.xxhash64("item_id", "shingles").alias("item_key"),
@@ -123,7 +123,7 @@ def find_leaks(
     hits = scratch.keep(hits.distinct(), "leak-hits")
     doc = ["doc_id", "text_hash"]
     pairs = hits.join(posting, "shingle").select(*doc, "n_doc", "at", "item_at", "item_key", "n")
-    enough = F.ceil(F.col("n") * F.lit(share) - F.lit(1e-9)).cast("int")
+    enough = F.ceil((F.col("n") + F.least("n", "n_doc")) * F.lit(share) - F.lit(1e-9)).cast("int")
     pairs = scratch.keep(pairs, "leak-pairs")
     rich = (
         pairs.groupBy(*doc, "n_doc", "item_key", "n")
