@@ -320,6 +320,19 @@ def test_passages(docs, rows):
     assert ordered(map(tuple, passages.remove_repeats(docs).collect())) == ordered(plain_repeats(rows))
 
 
+def test_passages_of_many_rows_without_id(spark):
+    """Rows that share an id, or have none, are told apart by their whole text, however many there are."""
+    random.seed(8)
+    passages_here = ["".join(random.choices("abcdefgh ", k=130)) for _ in range(40)]
+    made = []
+    for k in range(1500):
+        own = "".join(random.choices("stuvwxyz ", k=random.randrange(100, 160)))
+        made.append((None if k % 2 else 7, random.choice(passages_here) + own if k % 3 else own))
+    assert len({xxhash.xxh64_intdigest(t.encode(), 0) & 0x7FFF for _, t in made}) < len(made) - 10
+    got = passages.remove_repeats(spark.createDataFrame(made, "doc_id long, text string")).collect()
+    assert ordered(map(tuple, got)) == ordered(plain_repeats(made))
+
+
 def test_passages_large_keys(spark, monkeypatch):
     """Windows of a key with many chunks are dealt by their own hashes; the result is the same."""
     random.seed(5)

@@ -85,17 +85,19 @@ def chunks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(firsts), np.concatenate(lasts), np.concatenate(keys).view(np.int64)
 
 
-#: Where something stands: tie (15 bits of the text's hash, for rows that share an id), start, windows.
-def _pack_at(tie: int, first: np.ndarray, windows: np.ndarray) -> np.ndarray:
-    return (np.int64(tie) << 48) | (first << 8) | windows
+#: Where something stands in a text: start, windows.
+def _pack_at(first: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    return (first << 8) | windows
 
 
 def _tie(text: bytes) -> int:
-    return xxhash.xxh64_intdigest(text, 0) & 0x7FFF
+    """The text's hash as a signed long, which tells rows that share an id apart."""
+    digest = xxhash.xxh64_intdigest(text, 0)
+    return digest - (1 << 64) if digest >> 63 else digest
 
 
-_CHUNK = ["key", "chunk", "doc_id", "at"]
-_CHUNK_TYPE = "key long, chunk long, doc_id long, at long"
+_CHUNK = ["key", "chunk", "doc_id", "tie", "at"]
+_CHUNK_TYPE = "key long, chunk long, doc_id long, tie long, at long"
 
 
 def _batch(*columns) -> pa.RecordBatch:
@@ -103,16 +105,18 @@ def _batch(*columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], _CHUNK)
 
 
-def _first_of_each(key, chunk, doc, at) -> Iterator[pa.RecordBatch]:
+def _first_of_each(key, chunk, doc, tie, at) -> Iterator[pa.RecordBatch]:
     """The first of equal chunks, and the others as covered, dealt by document."""
-    order = np.lexsort((at, doc, chunk, key))
-    key, chunk, doc, at = key[order], chunk[order], doc[order], at[order]
+    order = np.lexsort((at, tie, doc, chunk, key))
+    key, chunk, doc, tie, at = key[order], chunk[order], doc[order], tie[order], at[order]
     again = np.concatenate([[False], (key[1:] == key[:-1]) & (chunk[1:] == chunk[:-1])])
     new = ~again
-    again[1:] &= (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])  # a repeated row is the same place
-    yield _batch(key[new], chunk[new], doc[new], at[new])
+    # a repeated row is the same place
+    again[1:] &= (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1]) | (at[1:] != at[:-1])
+    yield _batch(key[new], chunk[new], doc[new], tie[new], at[new])
     if again.any():
-        yield _batch(doc[again] * 0x9E3779B1 + (at[again] >> 48), [None] * int(again.sum()), doc[again], at[again])
+        none = [None] * int(again.sum())
+        yield _batch(doc[again] * 0x9E3779B1 + tie[again], none, doc[again], tie[again], at[again])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +132,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             chunk = np.array([xxhash.xxh3_64_intdigest(data[a:b]) for a, b in spans], np.uint64).view(np.int64)
             # documents without an id come first
             doc = np.full(first.size, _NO_ID if doc_id is None else doc_id)
-            held.append((key, chunk, doc, _pack_at(_tie(data), first, last - first + 1)))
+            held.append((key, chunk, doc, np.full(first.size, _tie(data)), _pack_at(first, last - first + 1)))
             count += first.size
             if count >= HELD_CHUNKS:
                 yield from _first_of_each(*map(np.concatenate, zip(*held)))
@@ -141,7 +145,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks ordered by key, chunk and place: covered ones, and those whose key has different chunks."""
     previous = None  # last chunk seen of a key that comes in several parts
     for large, group in whole_groups(batches, "key", KEY_CHUNKS):
-        key, doc, at = (group.column(c).to_numpy() for c in ("key", "doc_id", "at"))
+        key, doc, tie, at = (group.column(c).to_numpy() for c in ("key", "doc_id", "tie", "at"))
         covered = np.asarray(group.column("chunk").is_null())
         chunk = group.column("chunk").fill_null(0).to_numpy()
         again = np.zeros(key.size, bool)
@@ -151,10 +155,11 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             again[0] = True
         previous = (key[-1], chunk[-1])
         new = ~(covered | again)
-        again[1:] &= (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])  # a repeated row is the same place
+        # a repeated row is the same place
+        again[1:] &= (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1]) | (at[1:] != at[:-1])
         gone = covered | again
         if gone.any():
-            yield _batch(key[gone], [None] * int(gone.sum()), doc[gone], at[gone])
+            yield _batch(key[gone], [None] * int(gone.sum()), doc[gone], tie[gone], at[gone])
         if large:
             mixed = new
         else:
@@ -162,7 +167,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             different = np.add.reduceat(new.astype(np.int64), starts)
             mixed = new & np.repeat(different > 1, np.diff(np.append(starts, key.size)))
         if mixed.any():
-            yield _batch(key[mixed], chunk[mixed], doc[mixed], at[mixed])
+            yield _batch(key[mixed], chunk[mixed], doc[mixed], tie[mixed], at[mixed])
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
@@ -187,31 +192,31 @@ def _unpacked(packed: bytes) -> bytes:
 
 
 def _with_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, packed, key list, at list) to chunks with their bytes."""
+    """(doc_id, tie, packed, key list, at list) to chunks with their bytes."""
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "packed", "keys", "ats")))
-        for doc_id, packed, keys, ats in rows:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tie", "packed", "keys", "ats")))
+        for doc_id, tie, packed, keys, ats in rows:
             data = _unpacked(packed)
             cut = []
             for at in ats:
-                first = (at >> 8) & ((1 << 40) - 1)
+                first = at >> 8
                 cut.append(data[first : first + (at & 255) + LENGTH - 1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array([doc_id] * len(ats), pa.int64()), pa.array(ats, pa.int64()), pa.array(cut, pa.binary())],
-                ["key", "doc_id", "at", "bytes"],
+                [*(pa.array(c, pa.int64()) for c in (keys, [doc_id] * len(ats), [tie] * len(ats), ats)), pa.array(cut, pa.binary())],
+                ["key", "doc_id", "tie", "at", "bytes"],
             )
 
 
 _COVERED = "w1 long, w2 long, doc_id long, tie long, start long, stop long"
 
 
-def _covered(doc, at, first, last, w1=None, w2=None) -> pa.RecordBatch:
+def _covered(doc, tie, at, first, last, w1=None, w2=None) -> pa.RecordBatch:
     """Stretches of windows ``first`` to ``last`` inside chunks."""
     n = len(doc)
-    begun = (at >> 8) & ((1 << 40) - 1)
+    begun = at >> 8
     none = pa.nulls(n, pa.int64())
     columns = [none if w1 is None else pa.array(w1), none if w2 is None else pa.array(w2)]
-    columns += [pa.array(c) for c in (doc, at >> 48, begun + first, begun + last + LENGTH)]
+    columns += [pa.array(c) for c in (doc, tie, begun + first, begun + last + LENGTH)]
     return pa.RecordBatch.from_arrays(columns, ["w1", "w2", "doc_id", "tie", "start", "stop"])
 
 
@@ -241,23 +246,25 @@ def _sorted_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def shard(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         part, start = repeated_windows(rows.column("bytes").to_pylist())
         if part.size:
-            doc, at = rows.column("doc_id").to_numpy(), rows.column("at").to_numpy()
+            doc, tie, at = (rows.column(c).to_numpy() for c in ("doc_id", "tie", "at"))
             first = np.concatenate([[True], (part[1:] != part[:-1]) | (start[1:] != start[:-1] + 1)])
             last = np.append(first[1:], True)
             own = part[first]
-            yield _covered(doc[own], at[own], start[first], start[last])
+            yield _covered(doc[own], tie[own], at[own], start[first], start[last])
 
     for large, group in whole_groups(batches, "key", KEY_CHUNKS):
+        if "tie" not in group.column_names:  # ids are unique
+            group = group.append_column("tie", pa.array(np.zeros(group.num_rows, np.int64)))
         if large:
-            for doc, at, data in zip(*(group.column(c).to_pylist() for c in ("doc_id", "at", "bytes"))):
+            for doc, tie, at, data in zip(*(group.column(c).to_pylist() for c in ("doc_id", "tie", "at", "bytes"))):
                 n = at & 255
                 hashes = [divmod(xxhash.xxh3_128_intdigest(data[k : k + LENGTH]), 1 << 64) for k in range(n)]
                 pair, k = np.array(hashes, np.uint64).view(np.int64), np.arange(n)
-                yield _covered(np.full(n, doc), np.full(n, at), k, k, pair[:, 0], pair[:, 1])
+                yield _covered(np.full(n, doc), np.full(n, tie), np.full(n, at), k, k, pair[:, 0], pair[:, 1])
             continue
-        keys, docs, ats = (group.column(c).to_numpy() for c in ("key", "doc_id", "at"))
+        keys, docs, ties, ats = (group.column(c).to_numpy() for c in ("key", "doc_id", "tie", "at"))
         once = np.ones(keys.size, bool)  # repeated rows bring the same place
-        once[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1]) | (ats[1:] != ats[:-1])
+        once[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1]) | (ties[1:] != ties[:-1]) | (ats[1:] != ats[:-1])
         group, keys = group.filter(pa.array(once)), keys[once]
         # whole keys up to a shard's size
         lengths = np.cumsum((group.column("at").to_numpy() & 255) + LENGTH - 1)
@@ -280,23 +287,22 @@ def covered_stretches(docs: DataFrame, texts: DataFrame, scratch: Scratch) -> Da
     cut = small_batches(docs).select("doc_id", "text").mapInArrow(_cut, _CHUNK_TYPE)
     dealt = cut.repartition("key").sortWithinPartitions(*_CHUNK)
     met = scratch.keep(dealt.mapInArrow(_met, _CHUNK_TYPE), "passage-chunks")
-    tie = F.shiftrightunsigned("at", 48).alias("tie")
-    first = F.shiftrightunsigned("at", 8).bitwiseAND(F.lit((1 << 40) - 1))
+    first = F.shiftright("at", 8)
     windows = F.col("at").bitwiseAND(F.lit(255))
     plain = met.where("chunk IS NULL").select(
-        "doc_id", tie, first.alias("start"), (first + windows + (LENGTH - 1)).alias("stop")
+        "doc_id", "tie", first.alias("start"), (first + windows + (LENGTH - 1)).alias("stop")
     )
-    wanted = met.where("chunk IS NOT NULL").groupBy(F.col("doc_id").alias("d"), tie.alias("t")).agg(
+    wanted = met.where("chunk IS NOT NULL").groupBy(F.col("doc_id").alias("d"), F.col("tie").alias("t")).agg(
         F.collect_list("key").alias("keys"), F.collect_list("at").alias("ats")
     )
     looked_up = texts.select("doc_id", "tie", "packed").join(
         wanted.hint("shuffle_hash"), (F.col("doc_id") == F.col("d")) & (F.col("tie") == F.col("t"))
     )
     shards = (
-        looked_up.select("doc_id", "packed", "keys", "ats")
-        .mapInArrow(_with_text, "key long, doc_id long, at long, bytes binary")
+        looked_up.select("doc_id", "tie", "packed", "keys", "ats")
+        .mapInArrow(_with_text, "key long, doc_id long, tie long, at long, bytes binary")
         .repartition("key")
-        .sortWithinPartitions("key", "doc_id", "at")
+        .sortWithinPartitions("key", "doc_id", "tie", "at")
         .mapInArrow(_sorted_shards, _COVERED)
     )
     shards = scratch.keep(shards, "passage-shards")
