@@ -909,7 +909,7 @@ def test_pipeline(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_twin(spark, name):
     connection = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         connection.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     got = queries.QUERIES[name](spark, DATA)
     want = connection.execute(queries.ORACLE[name])

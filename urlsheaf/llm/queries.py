@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsheaf.llm import decontaminate, embeddings, licences, lines, packing, passages, quality, simhash, toxicity, urls
+from urlsheaf.llm import (
+    chat,
+    decontaminate,
+    embeddings,
+    licences,
+    lines,
+    packing,
+    passages,
+    quality,
+    runs,
+    search,
+    simhash,
+    toxicity,
+    urls,
+)
 from urlsheaf.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +94,25 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@_query("op11_chat_formatting", chat.CHAT_SQL)
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    spiked = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").cast(rows.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(chat.SPIKED).alias("text"),
+    )
+    return chat.read_back(chat.format_conversations(rows.unionByName(spiked)))
+
+
+@_query("op12_ranked_search", search.SEARCH_SQL)
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op13_periodic_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(runs.looped(table(spark, sf_dir, "documents"))).drop("runs")
