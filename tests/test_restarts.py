@@ -1,18 +1,27 @@
 """Restarts, caps of sliced hosts, failures by kind, and manifests that are no parquet scan."""
 
+import glob
 import json
 import os
+import shutil
+import tarfile
 import time
 
+import pyarrow.fs as pafs
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from urlsheaf.operators import fetch as fetching
 from urlsheaf.operators import ordering, pacing, partition
 from urlsheaf.operators.outcomes import request_log
+from urlsheaf.operators.queue import AnotherJobError
 from urlsheaf.operators.requests import plan_requests, slice_by_host
-from urlsheaf.operators.transport import HttpTransport, TableTransport, _Asker, failure_text
-from urlsheaf.plans.collect import Job, collect_dataset, collect_outcomes, plan_only
+from urlsheaf.operators.transport import TOO_LARGE, HttpTransport, TableTransport, _Asker, _pieces, failure_text
+from urlsheaf.plans.collect import Job, _keeper, collect_dataset, collect_outcomes, plan_only
+from urlsheaf.sinks.filesystems import open_target, register_filesystem
+from urlsheaf.sinks.samples import with_members
+from urlsheaf.sinks.store import Store, store, sweep
 from urlsheaf.sources.logs import read_performance_log
 from urlsheaf.sources.manifest import read_manifest
 
@@ -25,18 +34,167 @@ def answers(df):
     return TableTransport(df.select("url", F.lit(200).alias("status"), F.lit(b"x").alias("content")))
 
 
-@pytest.mark.parametrize("left", ["part", "temporary"])
-def test_broken_attempt_is_made_anew(spark, folder, left):
+def keyed(df):
+    return plan_requests(df.withColumn("row_key", F.regexp_extract("url", r"(\d+)\.png", 1)), "url", label="label")
+
+
+class Counting:
+    """Recorded answers, and how often each URL was asked for; breaks off when a slice beyond the limit comes."""
+
+    retry_wait = keeps_layout = False
+
+    def __init__(self, df, log, limit=None):
+        self.known, self.log, self.limit, self.calls = answers(df), log, limit, 0
+
+    def get(self, rows, attempt, timeout, by=None):
+        if self.limit is not None and self.calls >= self.limit:
+            raise InterruptedError("broken off")
+        self.calls += 1
+        self.log += [r["url"] for r in rows.select("url").collect()]
+        return self.known.get(rows, attempt, timeout, by)
+
+
+SLICES = {"rows_per_file": 3, "files_per_slice": 2}
+
+
+def test_a_broken_attempt_goes_on_at_its_slice(spark, folder):
+    df, log = manifest_rows(spark, 40), []
+    wanted = keyed(df)
+    with pytest.raises(StreamingQueryException):
+        fetching.fetch_with_retry(wanted, Counting(df, log, 2), work_dir=f"{folder}/w", **SLICES)
+    first = list(log)
+    assert 0 < len(first) < 40
+    # a slice whose write was not committed is made anew
+    os.makedirs(f"{folder}/w/attempt=1/slices/slice=2")
+    shutil.copy(glob.glob(f"{folder}/w/attempt=1/slices/slice=1/*.parquet")[0], f"{folder}/w/attempt=1/slices/slice=2")
+    log.clear()
+    got = fetching.fetch_with_retry(wanted, Counting(df, log), work_dir=f"{folder}/w", **SLICES)
+    assert sorted(log) == sorted(set(r["url"] for r in df.collect()) - set(first))
+    assert got.count() == 40 and got.select("row_key").distinct().count() == 40
+    log.clear()
+    again = fetching.fetch_with_retry(wanted, Counting(df, log), work_dir=f"{folder}/w", **SLICES)
+    assert again.count() == 40 and not log
+
+
+def test_a_folder_belongs_to_one_job(spark, folder):
+    df = manifest_rows(spark)
+    fetching.fetch_with_retry(keyed(df), answers(df), work_dir=f"{folder}/w")
+    for rows, options in ((df.limit(19), {}), (df.withColumn("url", F.concat("url", F.lit("?"))), {}), (df, {"success_codes": (200, 301)})):
+        with pytest.raises(AnotherJobError):
+            fetching.fetch_with_retry(keyed(rows), answers(df), work_dir=f"{folder}/w", **options)
+    shuffled = df.orderBy(F.rand(3)).repartition(7)
+    assert fetching.fetch_with_retry(keyed(shuffled), answers(df), work_dir=f"{folder}/w").count() == 20
+
+
+def test_nothing_to_ask_for(spark, folder):
     df = manifest_rows(spark)
-    wanted = plan_requests(df.withColumn("row_key", F.regexp_extract("url", r"(\d+)\.png", 1)), "url", label="label")
-    path = f"{folder}/work/attempt=1"
-    if left == "part":
-        fetching.fetch(wanted.limit(7), answers(df)).write.parquet(path)
-        os.remove(f"{path}/_SUCCESS")
+    assert fetching.fetch_with_retry(keyed(df).limit(0), answers(df), work_dir=f"{folder}/w").count() == 0
+
+
+@pytest.mark.parametrize("tar", [True, False])
+def test_a_collection_goes_on_after_a_break(spark, folder, tar):
+    """Broken off with archives written: the same call goes on, keeps what is committed, and the whole is right."""
+    rows = manifest_rows(spark, 40)
+    rows.coalesce(1).write.parquet(f"{folder}/in")
+    df, log, job = spark.read.parquet(f"{folder}/in"), [], Job(label="label", groups=2)
+    call = {"work_dir": f"{folder}/w", "tar": tar, **SLICES}
+    with pytest.raises(StreamingQueryException):
+        collect_dataset(df, Counting(df, log, 2), f"{folder}/out", job, **call)
+    place = f"{folder}/out/{'shards' if tar else 'samples'}"
+    assert not os.path.exists(f"{place}/_SUCCESS")
+    with pytest.raises(FileExistsError):  # another job's output
+        collect_dataset(df, Counting(df, log), f"{folder}/out", job, tar=tar)
+    if tar:  # left by a task that was lost
+        with open(f"{place}/output_partition_001_01_0009_0009_0001.tar.gz", "wb") as f:
+            f.write(b"half an archive")
+    first = list(log)
+    got = collect_dataset(df, Counting(df, log), f"{folder}/out", job, **call)
+    assert sorted(log) == sorted(r["url"] for r in rows.collect()) and log[: len(first)] == first
+    assert got.filter("success").count() == 40
+    told = spark.read.parquet(f"{place}/_manifest")
+    assert told.count() == told.select("member").distinct().count() == 40
+    if tar:
+        held = {}
+        for path in glob.glob(f"{place}/*.tar.gz"):
+            with tarfile.open(path) as archive:
+                held |= {m.name: archive.extractfile(m).read() for m in archive}
+        assert {r["member"] for r in told.collect()} == {m for m in held if not m.endswith("overview.json")}
     else:
-        os.makedirs(f"{path}/_temporary/0")
-    got = fetching.fetch_with_retry(wanted, answers(df), work_dir=f"{folder}/work")
-    assert got.count() == 20 and got.select("row_key").distinct().count() == 20
+        assert all(os.path.exists(f"{place}/{r['member']}") for r in told.collect())
+    collect_dataset(df, Counting(df, log), f"{folder}/out", job, **call)
+    assert len(log) == 40 and spark.read.parquet(f"{place}/_manifest").count() == 40
+
+
+def memory_of(folder):
+    """Opens URIs of a made scheme below a folder."""
+
+    def opened(uri):
+        return pafs.SubTreeFileSystem(folder, pafs.LocalFileSystem()), uri.split("://", 1)[1]
+
+    return opened
+
+
+def test_any_registered_file_system_is_written(spark, folder):
+    register_filesystem("made", memory_of(folder))
+    try:
+        rows = manifest_rows(spark).withColumn("row_key", F.regexp_extract("url", r"(\d+)\.png", 1)).withColumn("group", F.lit(1))
+        got = fetching.fetch(plan_requests(rows, "url", label="label"), answers(rows))
+        target = Store("made://bucket/shards", tar=True, compress=False, shard_bytes=5, inputs={})
+        made = store(with_members(got, "").withColumn("shard", F.lit("s")).coalesce(1), target)
+        made.write.parquet(f"{folder}/told")
+        told = spark.read.parquet(f"{folder}/told")
+        names = sorted(os.listdir(f"{folder}/bucket/shards"))
+        assert names == [f"s_{k:04d}.tar" for k in range(1, 5)]  # cut by bytes
+        assert {r["stored_in"] for r in told.collect()} == set(names)
+        assert sweep(target, told.filter("stored_in <> 's_0002.tar'")) == 1
+        assert len(os.listdir(f"{folder}/bucket/shards")) == 3
+        store(with_members(got, "").withColumn("shard", F.lit(None).cast("string")), Store("made://flat")).count()
+        assert len(os.listdir(f"{folder}/flat/l0")) == 10
+    finally:
+        register_filesystem("made", None)
+    assert open_target("s3a://bucket/x?region=eu-west-1")[1] == open_target("s3://bucket/x?region=eu-west-1")[1] == "bucket/x"
+
+
+def client():
+    """A session that answers everything; made by a function, as workers don't see this module."""
+
+    class Ok:
+        status_code, headers, content = 200, {}, b"0123456789"
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            pass
+
+    class Client:
+        def get(self, url, **_):
+            return Ok()
+
+    return Client
+
+
+def test_nothing_is_shuffled_above_content(spark, folder):
+    df = manifest_rows(spark, 60)
+    plans, Client = [], client()
+
+    def keep(got, attempt, number, last):
+        made = _keeper(HttpTransport(session=Client), Store(f"{folder}/shards", tar=True, inputs={}), "imagefolder")(got, attempt, number, last)
+        plans.append(made._jdf.queryExecution().executedPlan().toString())
+        return made
+
+    wanted = keyed(df.withColumn("group", F.when(F.col("label") == "l0", 1).otherwise(2)))
+    got = fetching.fetch_with_retry(wanted, HttpTransport(session=Client), by="group", keep=keep)
+    assert got.filter("success").count() == 60 and "content" not in got.columns
+    for plan in plans:
+        above = plan[: plan.index("MapInPandas")]
+        assert "MapInArrow" in above and "Exchange" not in above and "Sort" not in above
+    archives = glob.glob(f"{folder}/shards/*.tar.gz")
+    assert len(archives) <= 4
+    # bodies are handed on by bytes, and one that is too long says so
+    assert [len(p) for p in _pieces(iter([((), (b"x" * 10,))] * 7), 100, 25, 0)] == [3, 3, 1]
+    asker = _Asker(HttpTransport(session=Client, max_body=5))
+    assert asker.fetch("http://a/b", 3)[2] == TOO_LARGE
 
 
 def test_shares_of_a_host_sum_to_its_cap(spark):

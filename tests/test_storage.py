@@ -4,7 +4,9 @@ import glob
 import io
 import json
 import os
+import re
 import tarfile
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,6 +114,8 @@ def test_numbered_partition_files(spark, folder):
 def tree(root):
     found = {}
     for folder, _, files in os.walk(root):
+        if "_manifest" in folder:
+            continue
         for name in files:
             if not name.endswith(".crc"):
                 path = os.path.join(folder, name)
@@ -190,10 +194,17 @@ def test_collected_dataset_reports_itself(spark, folder):
         times = 2 if where.endswith("*/*") else 1
         assert (totals["total_urls"], totals["successful_downloads"]) == (20 * times, 18 * times)
         assert [tuple(r) for r in report.run_errors(views).collect()] == [("404", "HTTP 404: Not Found", 2 * times)]
-    heads = [next(iter(members(p))) for p in glob.glob(f"{folder}/out/shards/*.tar.gz")]
-    assert all(h.endswith("/overview.json") for h in heads)
-    listed = list_outputs(spark, f"{folder}/out/shards", "*.tar.gz").collect()
-    assert [r["name"] for r in listed] == ["output_partition_001.tar.gz", "output_partition_002.tar.gz"]
+    tails = [list(members(p))[-1] for p in glob.glob(f"{folder}/out/shards/*.tar.gz")]
+    assert all(t.endswith("/overview.json") for t in tails)
+    listed = [r["name"] for r in list_outputs(spark, f"{folder}/out/shards", "*.tar.gz").collect()]
+    assert {n[:20] for n in listed} == {"output_partition_001", "output_partition_002"}
+    assert all(re.fullmatch(r"output_partition_\d{3}_01_\d{4}_\d{4}_0001.tar.gz", n) for n in listed)
+    held = {}
+    for path in glob.glob(f"{folder}/out/shards/*.tar.gz"):
+        held |= members(path)
+    told = spark.read.parquet(f"{folder}/out/shards/_manifest").collect()
+    assert len(told) == 18 and all(zlib.crc32(held[r["member"]]) == r["crc32"] for r in told)
+    assert all(r["member"].split("/")[0] == r["stored_in"][: -len(".tar.gz")] for r in told)
     collect_dataset(df, answers, f"{folder}/flat", Job(label="label", groups=2, fmt="webdataset"), tar=False)
     assert len(glob.glob(f"{folder}/flat/samples/*.json")) == 18
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from urlsheaf.functions.status import INVALID_URL_TEXT, status_error
 from urlsheaf.functions.urls import valid_url
 from urlsheaf.operators.outcomes import needs_retry
+from urlsheaf.operators.queue import ROWS_PER_FILE, open_queue, work_off
 from urlsheaf.session import exists, scratch_path
 
 
@@ -28,13 +29,15 @@ def fetch(
     attempt: int = 1,
     error_prefix: str = "HTTP {code}",
     retry_after_status: int | None = None,
+    by: str | None = None,
 ) -> DataFrame:
     """One request per row of a request table; gives the outcome table.
 
     The outcome of a network transport must be written before it is used
-    twice, see ``fetch_with_retry``.
+    twice, see ``fetch_with_retry``.  ``by``: a column whose rows are asked
+    for together, as far as the transport lays out its requests.
     """
-    got = transport.get(requests, attempt, timeout)
+    got = transport.get(requests, attempt, timeout, *([by] if by else []))
     valid = valid_url(F.col("url"))
     ok = valid & _accepted(F.col("status_code"), success_codes)
     status = F.when(valid, F.col("status_code"))
@@ -63,40 +66,47 @@ def fetch(
     )
 
 
-def _written(spark, path: str) -> DataFrame | None:
-    """The table at ``path`` if its write was committed as a whole."""
-    return spark.read.parquet(path) if exists(spark, f"{path}/_SUCCESS") else None
-
-
 def fetch_attempts(
     requests: DataFrame,
     transport,
     max_attempts: int = 3,
     backoff: float = 2.0,
     work_dir: str | None = None,
+    keep: Callable[[DataFrame, int, int, bool], DataFrame] | None = None,
+    owner: dict | None = None,
+    files_per_slice: int | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
     **options,
 ) -> list[DataFrame]:
     """The written outcome table of every attempt.
 
-    An attempt is on disk before anything reads it, so no later plan can send
-    a request again.  Called anew with the same ``work_dir``, finished
-    attempts are read back; one that was broken off is made anew.
+    An attempt works off a queue on disk, slice by slice; a slice's outcomes
+    are on disk before anything reads them, so no later plan can send a
+    request again.  Called anew with the same ``work_dir``, it goes on at the
+    slice that was broken off.  A ``work_dir`` of another manifest, other
+    options or another ``owner`` is refused.
+
+    ``keep`` gets a slice's outcomes with content, the attempt, the slice's
+    number and whether it is the last attempt, and gives the rows to write.
     """
     spark = requests.sparkSession
     base = work_dir or scratch_path(spark, "fetch")
+    asked = {**options, **(owner or {})}
     pending, attempts = requests, []
     for attempt in range(1, max_attempts + 1):
-        path = f"{base}/attempt={attempt}"
-        done = _written(spark, path)
-        if done is None:
-            if attempt > 1 and transport.retry_wait:
-                time.sleep(backoff)
-            fetch(pending, transport, attempt=attempt, **options).write.mode("overwrite").parquet(path)
-            done = _written(spark, path)
-        done = done.withColumn("attempt", F.lit(attempt))
+        own, last = f"{base}/attempt={attempt}", attempt == max_attempts
+        queue = open_queue(pending, own, asked, rows_per_file)
+        if attempt > 1 and transport.retry_wait and not exists(spark, f"{own}/slices"):
+            time.sleep(backoff)
+
+        def step(rows: DataFrame, number: int, attempt: int = attempt, last: bool = last) -> DataFrame:
+            got = fetch(rows, transport, attempt=attempt, **options)
+            return keep(got, attempt, number, last) if keep else got
+
+        done = work_off(spark, queue, own, step, files_per_slice).withColumn("attempt", F.lit(attempt))
         attempts.append(done)
         retry = done.filter(needs_retry())
-        if attempt == max_attempts or retry.isEmpty():
+        if last or retry.isEmpty():
             break
         pending = retry.select(*[c for c in requests.columns if c in retry.columns])
     return attempts

@@ -63,6 +63,7 @@ def slice_by_host(
     key: str = "row_key",
     cap: int = 1 << 30,
     max_tasks: int = MAX_TASKS,
+    by: str | None = None,
 ) -> DataFrame:
     """Lay requests out by host, at most about ``rows_per_slice`` to a slice.
 
@@ -72,6 +73,10 @@ def slice_by_host(
     the shares of a host's slices sum to its cap.  The
     number of tasks is stated, as adaptive coalescing goes by bytes and would
     put a whole small manifest in one; ``max_tasks`` bounds it.
+
+    With ``by`` the slices of one value of that column are brought together,
+    again at most about ``rows_per_slice`` rows to a task, unless one host's
+    cap asks for more.
     """
     own = F.coalesce(F.min("host_cap"), F.lit(cap)) if "host_cap" in requests.columns else F.lit(cap)
     counted = requests.groupBy("host").agg(F.count("*").alias("_rows"), F.greatest(own, F.lit(1)).alias("_cap"))
@@ -85,4 +90,11 @@ def slice_by_host(
     part = F.pmod(F.xxhash64(key), F.col("host_slices")).cast("int")
     share = whole_quotient(F.col("_cap"), F.col("host_slices")) + (F.col("_slice") < F.col("_cap") % F.col("host_slices")).cast("int")
     laid = looked.withColumn("_slice", part).withColumn("slice_cap", share.cast("int"))
-    return laid.repartition(tasks, "host", "_slice").drop("_slice", "_cap")
+    if by is None:
+        return laid.repartition(tasks, "host", "_slice").drop("_slice", "_cap")
+    values = materialise(requests.groupBy(by).agg(F.count("*").alias("_of")), "values")
+    parts = values.withColumn("_parts", F.ceil(F.col("_of") / rows_per_slice).cast("int"))
+    tasks = min(max(parallelism, parts.agg(F.coalesce(F.sum("_parts"), F.lit(0))).first()[0]), max_tasks)
+    unit = F.pmod(F.xxhash64("host", "_slice"), F.col("_parts")).cast("int")
+    placed = attach_by_key(laid, parts, by, "_of").withColumn("_unit", unit)
+    return placed.repartition(tasks, by, "_unit").drop("_slice", "_cap", "_unit", "_parts")

@@ -13,7 +13,7 @@ from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
-from itertools import chain, islice
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -54,6 +54,8 @@ class TableTransport:
     """
 
     retry_wait = False
+    #: Answers come as a join lays them out, not as the requests were.
+    keeps_layout = False
 
     def __init__(self, answers: DataFrame):
         self.answers = answers
@@ -62,7 +64,7 @@ class TableTransport:
         known = name in self.answers.columns
         return (F.col(name) if known else F.lit(None)).cast(kind).alias(f"_{name}")
 
-    def get(self, requests: DataFrame, attempt: int, timeout: int) -> DataFrame:
+    def get(self, requests: DataFrame, attempt: int, timeout: int, by: str | None = None) -> DataFrame:
         answers = self.answers
         if "attempt" in answers.columns:
             answers = answers.filter(F.col("attempt") == attempt)
@@ -180,8 +182,10 @@ class HttpTransport:
     """Fetch over HTTP from the executors, with a bounded pool per task.
 
     A ``host_cap`` column on the requests overrides ``per_host``.  At most
-    ``waiting`` requests of a task wait for their host or have an answer that
-    is not yet handed on, which also bounds the bodies in memory.
+    ``waiting`` requests of a task wait for their host.  Answers are handed on
+    as soon as there are ``rows_per_yield`` of them or their bodies have
+    ``bytes_per_yield``; a body of over ``max_body`` bytes, which no column of
+    a batch could hold many of, is a failure that says so.
     """
 
     session: Callable = requests_session
@@ -192,11 +196,14 @@ class HttpTransport:
     waiting: int = 4096
     rows_per_slice: int = ROWS_PER_SLICE
     retry_after_status: int | None = None
+    bytes_per_yield: int = 32 << 20
+    max_body: int = 1 << 30
     retry_wait = True
+    keeps_layout = True
 
-    def get(self, requests: DataFrame, attempt: int, timeout: int) -> DataFrame:
+    def get(self, requests: DataFrame, attempt: int, timeout: int, by: str | None = None) -> DataFrame:
         ask = _Asker(self)
-        laid = slice_by_host(requests, self.rows_per_slice, cap=self.per_host)
+        laid = slice_by_host(requests, self.rows_per_slice, cap=self.per_host, by=by)
         schema = T.StructType(laid.schema.fields + ANSWER.fields)
         run = ask.rows("url", lambda url: ask.fetch(url, timeout), ANSWER)
         return laid.mapInPandas(run, schema)
@@ -228,6 +235,23 @@ class HttpTransport:
         return laid.mapInPandas(run, schema).select(*df.columns, *extra.fieldNames())
 
 
+#: What the outcome of a body beyond the limit says.
+TOO_LARGE = "Body too large"
+
+
+def _pieces(answers: Iterator, rows: int, size: int, body: int | None) -> Iterator[list]:
+    """Answers in lists of at most ``rows``, closed once their bodies have ``size`` bytes."""
+    piece, held = [], 0
+    for row, got in answers:
+        piece.append((row, got))
+        held += len(got[body] or b"") if body is not None else 0
+        if len(piece) >= rows or held >= size:
+            yield piece
+            piece, held = [], 0
+    if piece:
+        yield piece
+
+
 class _Asker:
     """The calls one task makes; holds no state but its client."""
 
@@ -257,8 +281,9 @@ class _Asker:
             columns = list(first.columns)
             rows = chain(first.itertuples(index=False, name=None), rows)
             at, host, cap = (columns.index(c) for c in (column, "host", "slice_cap"))
+            body = names.index("content") if "content" in names else None
             found = self.answered(rows, lambda row: call(row[at]), lambda row: row[host], lambda row: int(row[cap]))
-            while piece := list(islice(found, self.t.rows_per_yield)):
+            for piece in _pieces(found, self.t.rows_per_yield, self.t.bytes_per_yield, body):
                 made = pd.DataFrame([row + tuple(got) for row, got in piece], columns=[*columns, *names])
                 for name in names:
                     if name in nullable:
@@ -324,7 +349,10 @@ class _Asker:
             with self.client.get(url, timeout=timeout, stream=True) as answer:
                 first_byte = time.monotonic() - began
                 status = int(answer.status_code)
-                content = answer.content if 200 <= status < 400 else None
+                told = _seconds(answer.headers.get("Content-Length")) or 0
+                content = answer.content if 200 <= status < 400 and told <= self.t.max_body else None
+                if max(told, len(content or b"")) > self.t.max_body:
+                    return (None, "other", TOO_LARGE, None, first_byte, None, now)
                 wait = None
                 if self.t.retry_after_status in (None, status):
                     wait = _seconds(answer.headers.get("Retry-After"))

@@ -127,22 +127,25 @@ def _(spark, sf):
     "write_tar_shards",
     f"""WITH RECURSIVE {MANIFEST}, {SQL_FINAL}, {_GROUPED} SELECT 'output_partition_' || lpad(CAST("group" AS VARCHAR), 3, '0')
   AS partition_name, count(*) AS total_urls, count(*) FILTER (success) AS successful_downloads,
-  count(*) FILTER (NOT success) AS failed_downloads, round(sum(bytes_downloaded) / 1e6, 3) AS downloaded_mb
+  count(*) FILTER (NOT success) AS failed_downloads, round(sum(bytes_downloaded) / 1e6, 2) AS downloaded_mb
 FROM final JOIN hosted USING (page_id) JOIN packed USING (host) GROUP BY "group" """,
 )
 def _(spark, sf):
     out = scratch_path(spark, "dataset")
     job = collect.Job(label="label", groups=GROUPS)
     collect.collect_dataset(manifest(spark, sf), origin(spark, sf), out, job)
-    return read_overviews(spark, f"{out}/shards/*.tar.gz").select(
-        "partition_name", "total_urls", "successful_downloads", "failed_downloads", "downloaded_mb"
+    shards = read_overviews(spark, f"{out}/shards/*.tar.gz")
+    # a group has archives of every slice and attempt
+    return shards.groupBy(F.substring("partition_name", 1, 20).alias("partition_name")).agg(
+        *[F.sum(c).alias(c) for c in ("total_urls", "successful_downloads", "failed_downloads")],
+        F.round(F.sum("downloaded_mb"), 2).alias("downloaded_mb"),
     )
 
 
 @query(
     "list_outputs",
     f"""WITH RECURSIVE {MANIFEST}, {_GROUPED}
-SELECT DISTINCT 'output_partition_' || lpad(CAST("group" AS VARCHAR), 3, '0') || '.tar' AS name, true AS filled FROM packed""",
+SELECT DISTINCT 'output_partition_' || lpad(CAST("group" AS VARCHAR), 3, '0') || '_0001_0001.tar' AS name, true AS filled FROM packed""",
 )
 def _(spark, sf):
     out = scratch_path(spark, "shards")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,22 +10,19 @@ from pyspark.sql import functions as F
 from urlsheaf.functions.names import IMAGEFOLDER
 from urlsheaf.operators.fetch import fetch_with_retry
 from urlsheaf.operators.manifest import add_row_key, clean_manifest, require_rows, with_host
+from urlsheaf.operators.outcomes import needs_retry
 from urlsheaf.operators.partition import (
     partition_by_host,
     partition_by_label,
     partition_simple,
 )
+from urlsheaf.operators.queue import claimed
 from urlsheaf.operators.requests import plan_requests
-from urlsheaf.session import materialise
+from urlsheaf.operators.transport import HttpTransport
+from urlsheaf.session import exists, materialise
 from urlsheaf.sinks.reports import overview_documents, write_overview
-from urlsheaf.sinks.samples import (
-    ROWS_PER_SHARD,
-    prepare_target,
-    shard_names,
-    write_imagefolder,
-    write_tar_shards,
-    write_webdataset,
-)
+from urlsheaf.sinks.samples import finish, prepare_target, with_members
+from urlsheaf.sinks.store import SHARD_BYTES, Store, store, sweep
 
 HOST, SIMPLE, LABEL = "host", "simple", "label"
 
@@ -47,7 +44,8 @@ class Job:
     timeout: int = 30
     success_codes: tuple | range = (200,)
     compress: bool = True
-    rows_per_shard: int = ROWS_PER_SHARD
+    shard_bytes: int = SHARD_BYTES
+    mean_bytes: int = 200_000
 
 
 def _split(df: DataFrame, job: Job) -> DataFrame:
@@ -71,11 +69,10 @@ def plan_only(df: DataFrame, job: Job = Job()) -> DataFrame:
     return sizes.withColumn("target", F.format_string("output_partition_%03d", F.col("group")))
 
 
-def collect_outcomes(df: DataFrame, transport, job: Job = Job(), out: str = "", work_dir: str | None = None) -> DataFrame:
-    """Clean, key, partition and fetch; gives the outcome table."""
+def _requests(df: DataFrame, job: Job, out: str) -> DataFrame:
     keyed = materialise(add_row_key(clean_manifest(df, job.url_col)), "manifest")
     require_rows(keyed)
-    requests = plan_requests(
+    return plan_requests(
         _split(keyed, job),
         job.url_col,
         label=job.label,
@@ -85,17 +82,48 @@ def collect_outcomes(df: DataFrame, transport, job: Job = Job(), out: str = "",
         pattern=job.pattern,
         default_ext=job.default_ext,
     )
+
+
+def collect_outcomes(
+    df: DataFrame,
+    transport,
+    job: Job = Job(),
+    out: str = "",
+    work_dir: str | None = None,
+    **options,
+) -> DataFrame:
+    """Clean, key, partition and fetch; gives the outcome table."""
     return fetch_with_retry(
-        requests,
+        _requests(df, job, out),
         transport,
         job.max_attempts,
         backoff=job.backoff,
         work_dir=work_dir,
         timeout=job.timeout,
         success_codes=job.success_codes,
+        **options,
     )
 
 
+def _keeper(transport, target: Store, fmt: str):
+    """What becomes of a slice's answers: content goes into its archive or file, the outcomes are kept.
+
+    A task's rows of one group fill its archives, so nothing is shuffled or sorted once there is content.  Recorded
+    answers are joined to the requests, in whatever layout that gives, and are brought together first.
+    """
+
+    def keep(got: DataFrame, attempt: int, number: int, last: bool) -> DataFrame:
+        if target.tar and not transport.keeps_layout:
+            got = got.repartition("group")
+        final = F.lit(True) if last else ~needs_retry()
+        name = F.format_string(
+            f"output_partition_%03d_{attempt:02d}_{number:04d}_%04d", F.col("group"), F.spark_partition_id()
+        )
+        return store(with_members(got, "", fmt).withColumn("shard", F.when(final, name)), target)
+
+    return keep
+
+
 def collect_dataset(
     df: DataFrame,
     transport,
@@ -104,27 +132,54 @@ def collect_dataset(
     tar: bool = True,
     mode: str = "errorifexists",
     work_dir: str | None = None,
+    **slices: int,
 ) -> DataFrame:
     """Collect a dataset below ``out``: tar shards, or plain files.
 
-    Shards go to ``<out>/shards`` with their overview inside, the overviews
-    also to ``<out>/overviews``.  Gives the outcome table.
+    Answers are written as they come, to ``<out>/shards`` as archives of about ``shard_bytes``, each ended by its
+    overview, or to ``<out>/samples``.  The overviews also go to ``<out>/overviews``, and ``_manifest`` beside the shards
+    or samples lists what was written.  Gives the outcome table, without content.
+
+    A job that was broken off goes on where it was if it is called anew with the same ``work_dir``: its output is then
+    its own, and existing output of any other job is refused or overwritten as ``mode`` says.  ``slices``:
+    ``rows_per_file`` and ``files_per_slice`` of the queue.
     """
+    spark = df.sparkSession
     targets = [f"{out}/shards" if tar else f"{out}/samples", f"{out}/overviews"]
-    for target in targets:  # before the first request is sent
-        prepare_target(target, mode)
-    outcomes = collect_outcomes(df, transport, job, "", work_dir)
-    sharded = shard_names(outcomes, job.rows_per_shard)
-    suffix = (".tar.gz" if job.compress else ".tar") if tar else None
-    documents = materialise(
-        overview_documents(sharded.drop("content"), _script_inputs(job, out), None, "shard", suffix), "overviews"
+    begun = claimed(spark, f"{work_dir}/attempt=1") if work_dir else None
+    resumed = begun is not None and begun.get("target") == targets[0]
+    if not resumed:
+        for place in targets:  # before the first request is sent
+            prepare_target(place, mode)
+    inputs = _script_inputs(job, out)
+    target = Store(targets[0], tar, job.compress, job.shard_bytes, inputs if tar else None)
+    if isinstance(transport, HttpTransport):
+        # a task has the rows of about one archive
+        rows = max(1, job.shard_bytes // max(1, job.mean_bytes))
+        transport = replace(transport, rows_per_slice=min(transport.rows_per_slice, rows))
+    outcomes = collect_outcomes(
+        df,
+        transport,
+        job,
+        "",
+        work_dir,
+        by="group" if tar else None,
+        keep=_keeper(transport, target, job.fmt),
+        owner={"target": targets[0], "fmt": job.fmt, "compress": job.compress},
+        **slices,
     )
+    if not exists(spark, f"{targets[0]}/_SUCCESS"):
+        manifest = outcomes.filter(F.col("member").isNotNull())
+        if tar:
+            sweep(target, outcomes.filter(F.col("stored_in").isNotNull()))
+        finish(targets[0], manifest.select("stored_in", "member", "bytes_downloaded", "crc32"))
     if tar:
-        write_tar_shards(sharded, targets[0], job.fmt, job.compress, overviews=documents, mode=mode)
+        named = outcomes.withColumn("shard", F.regexp_replace("stored_in", r"\.tar(\.gz)?$", ""))
     else:
-        writer = write_imagefolder if job.fmt == IMAGEFOLDER else write_webdataset
-        writer(outcomes, targets[0], mode)
-    write_overview(documents, targets[1], "shard", mode)
+        named = outcomes.withColumn("shard", F.format_string("output_partition_%03d", F.col("group")))
+    suffix = target.suffix if tar else None
+    documents = materialise(overview_documents(named, inputs, None, "shard", suffix), "overviews")
+    write_overview(documents, targets[1], "shard", "overwrite" if resumed else mode)
     return outcomes
 
 

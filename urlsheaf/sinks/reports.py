@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urlsheaf.operators.outcomes import count_errors, overview_summary
-from urlsheaf.sinks.samples import MemberFiles, save_members
+from urlsheaf.sinks.samples import save_files
+from urlsheaf.sinks.store import Store
 
 
 def overview_documents(
@@ -52,7 +53,7 @@ def write_overview(documents: DataFrame, out: str, by: str, mode: str = "errorif
         F.concat(F.col(by).cast("string"), F.lit("_overview.json")).alias("path"),
         F.col("overview").cast("binary").alias("content"),
     )
-    save_members(members, MemberFiles, out, mode)
+    save_files(members, Store(out), mode)
 
 
 def write_report(report: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -1,165 +1,26 @@
 """Writing samples: class folders, flat samples with JSON, tar shards.
 
-The layouts are plain tables of *members* (path and content); two small data
-sources turn members into files or into tar archives, on any file system that
-the output URI names.
+The layouts are plain tables of *members* (path and content), which ``store``
+turns into files or into tar archives, on any file system that the output URI
+names.
 """
 
 from __future__ import annotations
 
-import gzip
-import io
-import posixpath
-import tarfile
-import uuid
-from collections.abc import Iterator
-from dataclasses import dataclass
-
-import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from urlsheaf.functions.names import IMAGEFOLDER, WEBDATASET, sample_metadata
 from urlsheaf.operators.joins import attach_by_key
 from urlsheaf.session import materialise
+from urlsheaf.sinks.filesystems import open_target
+from urlsheaf.sinks.store import Store, store
 
 ROWS_PER_SHARD = 100_000
-# Arrow hands rows to the writers in batches; bodies are large, so few rows each.
-ROWS_PER_BATCH = 64
-
 _DONE = "_SUCCESS"
-
-
-def open_target(uri: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in uri or uri.startswith("file:"):
-        return pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri[5:])
-    return pafs.LocalFileSystem(), posixpath.abspath(uri)
-
-
-@dataclass
-class Written(WriterCommitMessage):
-    members: int
-    size: int
-
-
-class _MemberWriter(DataSourceArrowWriter):
-    """A task writes finished files under their final names only: content goes
-    to an attempt's own name first and is moved when complete.  Names depend
-    on the row alone, so a repeated task writes the same files again."""
-
-    def __init__(self, options: dict):
-        self.root = options["path"]
-        self.compress = options.get("compress", "true") == "true"
-
-    def commit(self, messages: list) -> None:
-        fs, root = open_target(self.root)
-        fs.create_dir(root, recursive=True)
-        with fs.open_output_stream(f"{root}/{_DONE}"):
-            pass
-
-    def abort(self, messages: list) -> None:
-        """Files of finished tasks stay; without the marker the set is not complete."""
-
-
-def _temporary(final: str) -> str:
-    folder, name = posixpath.split(final)
-    return f"{folder}/.{uuid.uuid4().hex}.{name[-40:]}"
-
-
-def _within(root: str, path: str) -> str:
-    """Final name of a member; paths may not leave the target."""
-    final = posixpath.normpath(f"{root}/{path}")
-    if not final.startswith(root.rstrip("/") + "/"):
-        raise ValueError(f"path leaves the output folder: {path}")
-    return final
-
-
-class _FileWriter(_MemberWriter):
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        fs, root = open_target(self.root)
-        done = Written(0, 0)
-        folders = set()
-        for batch in iterator:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                final = _within(root, path)
-                folder = posixpath.dirname(final)
-                if folder not in folders:
-                    fs.create_dir(folder, recursive=True)
-                    folders.add(folder)
-                attempt = _temporary(final)
-                with fs.open_output_stream(attempt, compression=None) as out:
-                    out.write(content)
-                fs.move(attempt, final)
-                done.members += 1
-                done.size += len(content)
-        return done
-
-
-class _Shard:
-    """One open archive."""
-
-    def __init__(self, fs: pafs.FileSystem, final: str, compress: bool):
-        self.fs, self.final, self.attempt = fs, final, _temporary(final)
-        self.sink = fs.open_output_stream(self.attempt, compression=None)
-        # a fixed time stamp makes a repeated task write the same bytes
-        self.zipped = gzip.GzipFile(fileobj=self.sink, mode="wb", mtime=0) if compress else None
-        self.tar = tarfile.open(fileobj=self.zipped or self.sink, mode="w|", format=tarfile.PAX_FORMAT)
-
-    def add(self, path: str, content: bytes) -> None:
-        info = tarfile.TarInfo(path)
-        info.size = len(content)
-        self.tar.addfile(info, io.BytesIO(content))
-
-    def close(self) -> None:
-        self.tar.close()
-        if self.zipped is not None:
-            self.zipped.close()
-        self.sink.close()
-        self.fs.move(self.attempt, self.final)
-
-
-class _TarWriter(_MemberWriter):
-    """Rows come sorted by shard; each shard is one streamed archive."""
-
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        fs, root = open_target(self.root)
-        fs.create_dir(root, recursive=True)
-        suffix = ".tar.gz" if self.compress else ".tar"
-        done = Written(0, 0)
-        current, shard = None, None
-        for batch in iterator:
-            columns = [batch.column(c).to_pylist() for c in ("shard", "path", "content")]
-            for name, path, content in zip(*columns):
-                if name != current:
-                    if shard is not None:
-                        shard.close()
-                    current, shard = name, _Shard(fs, _within(root, name + suffix), self.compress)
-                shard.add(f"{name}/{path}", content)
-                done.members += 1
-                done.size += len(content)
-        if shard is not None:
-            shard.close()
-        return done
-
-
-class MemberFiles(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "memberfiles"
-
-    def writer(self, schema, overwrite: bool):
-        return _FileWriter(dict(self.options))
-
-
-class MemberTars(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "membertars"
-
-    def writer(self, schema, overwrite: bool):
-        return _TarWriter(dict(self.options))
+#: Folder of the table that tells what a sink has written.
+MANIFEST = "_manifest"
 
 
 def prepare_target(out: str, mode: str) -> None:
@@ -173,17 +34,22 @@ def prepare_target(out: str, mode: str) -> None:
         raise FileExistsError(f"output exists: {out}")
 
 
-def save_members(members: DataFrame, source: type[DataSource], out: str, mode: str, **options: str) -> None:
-    spark = members.sparkSession
-    prepare_target(out, mode)
-    spark.dataSource.register(source)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROWS_PER_BATCH)
-    try:
-        members.write.format(source.name()).mode("append").options(path=out, **options).save()
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+def finish(out: str, manifest: DataFrame) -> None:
+    """Commit what was written below ``out``: the manifest, which Spark commits as a table, then the marker."""
+    manifest.write.mode("append").parquet(f"{out}/{MANIFEST}")
+    fs, root = open_target(out)
+    fs.create_dir(root, recursive=True)
+    with fs.open_output_stream(f"{root}/{_DONE}"):
+        pass
+
+
+def save_files(members: DataFrame, target: Store, mode: str) -> None:
+    """Write ``members (path, content)``, and ``side`` and ``shard`` if there are any."""
+    prepare_target(target.root, mode)
+    for name, kind in (("side", "binary"), ("shard", "string")):
+        if name not in members.columns:
+            members = members.withColumn(name, F.lit(None).cast(kind))
+    finish(target.root, store(members, target).select("stored_in", "member", "crc32"))
 
 
 def _relative(path: Column, out: str) -> Column:
@@ -193,50 +59,38 @@ def _relative(path: Column, out: str) -> Column:
     return F.when(path.startswith(root), inside).otherwise(plain)
 
 
-def sample_members(outcomes: DataFrame, out: str, fmt: str = IMAGEFOLDER) -> DataFrame:
-    """``path, content`` of every stored sample, side files included.
-
-    Columns of ``outcomes`` other than these are kept.
-    """
-    stored = outcomes.filter(F.col("success") & F.col("file_path").isNotNull())
-    path = _relative(F.col("file_path"), out)
-    content = F.coalesce(F.col("content"), F.lit(b""))
-    body = F.struct(path.alias("path"), content.alias("content"))
-    if fmt != WEBDATASET:
-        return stored.select("*", body.alias("_m")).drop("content").select("*", "_m.*").drop("_m")
-    text = sample_metadata(F.col("row_key"), F.col("url"), F.col("class_name")).cast("binary")
-    side = F.struct(
-        F.concat(F.regexp_replace(path, r"\.[^.]*$", ""), F.lit(".json")).alias("path"), text.alias("content")
-    )
-    members = stored.select("*", F.explode(F.array(body, side)).alias("_m"))
-    return members.drop("content").select("*", "_m.*").drop("_m")
+def with_members(outcomes: DataFrame, out: str, fmt: str = IMAGEFOLDER) -> DataFrame:
+    """Adds ``path`` (null where nothing is stored) and ``side``, the side file's bytes, of every sample."""
+    stored = F.col("success") & F.col("file_path").isNotNull()
+    side = F.lit(None).cast("binary")
+    if fmt == WEBDATASET:
+        side = F.when(stored, sample_metadata(F.col("row_key"), F.col("url"), F.col("class_name")).cast("binary"))
+    return outcomes.withColumn("path", F.when(stored, _relative(F.col("file_path"), out))).withColumn("side", side)
 
 
 def write_imagefolder(
     outcomes: DataFrame, out: str, mode: str = "errorifexists", layout_root: str | None = None
 ) -> None:
     """``<out>/<label>/<file>``; no shuffle.  ``layout_root`` is cut from file paths."""
-    members = sample_members(outcomes, layout_root or out, IMAGEFOLDER).select("path", "content")
-    save_members(members, MemberFiles, out, mode)
+    members = with_members(outcomes, layout_root or out, IMAGEFOLDER).filter(F.col("path").isNotNull())
+    save_files(members.select("path", "content", "side"), Store(out), mode)
 
 
 def write_webdataset(
     outcomes: DataFrame, out: str, mode: str = "errorifexists", layout_root: str | None = None
 ) -> None:
     """``<out>/<file>`` and ``<out>/<stem>.json``; no shuffle."""
-    members = sample_members(outcomes, layout_root or out, WEBDATASET).select("path", "content")
-    save_members(members, MemberFiles, out, mode)
+    members = with_members(outcomes, layout_root or out, WEBDATASET).filter(F.col("path").isNotNull())
+    save_files(members.select("path", "content", "side"), Store(out), mode)
 
 
 def shard_names(outcomes: DataFrame, rows_per_shard: int = ROWS_PER_SHARD) -> DataFrame:
-    """Adds ``shard``: one per group, several for a group beyond the limit."""
+    """Adds ``shard``: a numbered slice of its group of about ``rows_per_shard`` rows."""
     counts = materialise(outcomes.groupBy("group").agg(F.count("*").alias("_rows")), "shards")
     sized = counts.withColumn("_shards", F.ceil(F.col("_rows") / rows_per_shard).cast("int"))
     looked = attach_by_key(outcomes, sized, "group", "_rows")
-    base = F.format_string("output_partition_%03d", F.col("group"))
     part = F.pmod(F.xxhash64("row_key"), F.col("_shards")).cast("int")
-    name = F.when(F.col("_shards") > 1, F.concat(base, F.format_string("_%04d", part + 1))).otherwise(base)
-    return looked.withColumn("shard", name).drop("_shards")
+    return looked.withColumn("shard", F.format_string("output_partition_%03d_%04d", F.col("group"), part + 1)).drop("_shards")
 
 
 def write_tar_shards(
@@ -245,20 +99,14 @@ def write_tar_shards(
     fmt: str = IMAGEFOLDER,
     compress: bool = True,
     layout_root: str = "",
-    overviews: DataFrame | None = None,
     mode: str = "errorifexists",
+    inputs: dict | None = None,
 ) -> None:
-    """One archive per ``shard``; its name is the archive's root folder.
+    """Stored outcomes into archives ``<shard>_<part>``; an archive's name is its root folder.
 
-    ``overviews`` (``shard``, ``overview`` text) go in first, where a reader
-    finds them without reading the whole archive.
+    Rows are brought together by ``shard`` and go in by path.  A job that fetches writes its archives without that, see
+    ``plans.collect``.  ``inputs``: every archive ends with an ``overview.json``.
     """
-    members = sample_members(outcomes, layout_root, fmt).select("shard", "path", "content")
-    if overviews is not None:
-        heads = overviews.select(
-            "shard", F.lit("overview.json").alias("path"), F.col("overview").cast("binary").alias("content")
-        )
-        members = members.unionByName(heads)
-    first = F.when(F.col("path") == "overview.json", 0).otherwise(1)
-    laid = members.repartition("shard").sortWithinPartitions("shard", first, "path")
-    save_members(laid, MemberTars, out, mode, compress=str(compress).lower())
+    members = with_members(outcomes, layout_root, fmt)
+    laid = members.repartition("shard").sortWithinPartitions("shard", "path")
+    save_files(laid, Store(out, tar=True, compress=compress, inputs=inputs), mode)

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsheaf.sinks.samples import open_target
+from urlsheaf.sinks.filesystems import open_target
 
 # Layout of an overview document.
 ERRORS = "array<struct<status_code: string, error: string, count: bigint>>"
