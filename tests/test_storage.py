@@ -18,6 +18,7 @@ from urlsheaf.operators.transport import TableTransport
 from urlsheaf.plans.collect import Job, collect_dataset
 from urlsheaf.sinks import partitions, samples
 from urlsheaf.sinks.reports import overview_documents, write_overview, write_report
+from urlsheaf.sources.archives import archive_members, read_members
 from urlsheaf.sources.listing import list_outputs
 from urlsheaf.sources.logs import read_performance_log
 from urlsheaf.sources.manifest import infer_format, read_manifest, read_manifest_dir, read_partitions, require_columns
@@ -230,6 +231,68 @@ def test_overviews_with_gaps(spark, folder):
     assert [tuple(r) for r in errors] == [("unknown", "Unknown error", 2), ("404", "x", 0)]
 
 
+def pack(path, entries, mode="w"):
+    with tarfile.open(path, mode) as tar:
+        for name, body in entries:
+            info = tarfile.TarInfo(name)
+            if body is None:
+                info.type = tarfile.DIRTYPE
+            else:
+                info.size = len(body)
+            tar.addfile(info, io.BytesIO(body or b""))
+
+
+class Counted(io.FileIO):
+    """A file that counts the bytes it gives."""
+
+    given = 0
+
+    def read(self, n=-1):
+        found = super().read(n)
+        Counted.given += len(found)
+        return found
+
+
+def test_only_headers_of_an_archive_are_read(folder):
+    large = os.urandom(3_000_000)
+    pack(f"{folder}/a.tar", [("a", None), *[(f"a/{k}.bin", large) for k in range(5)], ("a/overview.json", b"{}"), ("a/last.bin", large)])
+    whole = lambda seekable: Counted(f"{folder}/a.tar")
+    for wanted, content, want in (
+        (lambda n: True, False, [(f"a/{k}.bin", 3_000_000, None) for k in range(5)] + [("a/overview.json", 2, None), ("a/last.bin", 3_000_000, None)]),
+        (lambda n: n.endswith("overview.json"), True, [("a/overview.json", 2, b"{}")]),
+    ):
+        Counted.given = 0
+        assert list(archive_members(whole, "a.tar", wanted, content)) == want
+        assert Counted.given < 20_000
+    pack(f"{folder}/cut.tar", [("x/1", b"one"), ("x/2", large)])
+    os.truncate(f"{folder}/cut.tar", 100_000)
+    cut = lambda seekable: open(f"{folder}/cut.tar", "rb")
+    assert list(archive_members(cut, "cut.tar", lambda n: True, True)) == [("x/1", 3, b"one")]
+
+
+def test_archive_members(spark, folder):
+    inner = io.BytesIO()
+    with tarfile.open(fileobj=inner, mode="w") as tar:
+        tar.addfile(tarfile.TarInfo("q/overview.json"))
+    entries = [("p", None), ("p/1.png", b"1"), ("p/sub/overview.json", b"no"), ("p/in.tar", inner.getvalue()), ("p/overview.json", b'{"summary": {"total_urls": 3}}')]
+    os.makedirs(f"{folder}/d/e")
+    pack(f"{folder}/d/a.tar", entries)
+    pack(f"{folder}/d/b.tar.gz", entries, "w:gz")
+    with open(f"{folder}/d/c.tar", "wb") as f:
+        f.write(b"no archive")
+    with open(f"{folder}/d/x.json", "w") as f:
+        f.write('{"summary": {"total_urls": 4}}')
+    for place in (f"{folder}/d", f"file://{folder}/d", f"{folder}/d/*", f"{folder}/[d]/*.tar*"):
+        got = read_members(spark, place).collect()
+        assert sorted((r["path"][-5:], r["member"]) for r in got) == sorted((p, n) for p in ("a.tar", "ar.gz") for n, b in entries if b is not None)
+        assert all(r["content"] is None for r in got)
+    some = read_members(spark, f"{folder}/d", content=True).filter("member like '%.png'").select("content")
+    assert [bytes(r[0]) for r in some.collect()] == [b"1", b"1"]
+    assert "StringEndsWith" not in some._jdf.queryExecution().executedPlan().toString().split("BatchScan")[0]
+    views = read_overviews(spark, f"{folder}/d").collect()
+    assert sorted((r["partition_name"], r["total_urls"]) for r in views) == [("a", 3), ("b", 3), ("x", 4)]
+
+
 LOG = """# timestamp workers_connected idle tasks_done tasks_failed bytes_received
 1000000 3 0 0 0 0
 4000000 9 0 5 1 100

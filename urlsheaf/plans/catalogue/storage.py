@@ -28,6 +28,7 @@ from urlsheaf.plans.catalogue.inputs import (
 from urlsheaf.plans.catalogue.registry import query
 from urlsheaf.session import scratch_path
 from urlsheaf.sinks import partitions, samples
+from urlsheaf.sources.archives import read_members
 from urlsheaf.sources.checkpoints import completed_batches, read_checkpoints
 from urlsheaf.sources.listing import list_outputs
 from urlsheaf.sources.manifest import read_manifest, read_manifest_dir, read_partitions
@@ -142,6 +143,23 @@ def _(spark, sf):
     )
 
 
+@query(
+    "archive_members",
+    f"""WITH RECURSIVE {MANIFEST}, {SQL_FINAL} SELECT replace(label, ' ', '_') || '/' || {sql_file('page_id', 'url')} AS member,
+  bytes_downloaded AS size, sha256(html) AS sha256 FROM final JOIN (SELECT page_id, html FROM pages) USING (page_id) WHERE success""",
+)
+def _(spark, sf):
+    """Names, sizes and contents of what a collection has put into its archives."""
+    out = scratch_path(spark, "dataset")
+    job = collect.Job(label="label", groups=GROUPS, shard_bytes=1 << 16)
+    wanted = manifest(spark, sf)
+    collect.collect_dataset(wanted, origin(spark, sf), out, job)
+    packed = read_members(spark, f"{out}/shards/*.tar.gz", content=True).filter(~F.col("member").endswith("/overview.json"))
+    return packed.select(
+        F.regexp_replace("member", "^[^/]+/", "").alias("member"), "size", F.sha2("content", 256).alias("sha256")
+    )
+
+
 @query(
     "list_outputs",
     f"""WITH RECURSIVE {MANIFEST}, {_GROUPED}

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import posixpath
-import tarfile
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsheaf.sinks.filesystems import open_target
+from urlsheaf.sinks.filesystems import open_target, openers
+from urlsheaf.sources.archives import listed, read_members
 
 # Layout of an overview document.
 ERRORS = "array<struct<status_code: string, error: string, count: bigint>>"
@@ -49,38 +48,36 @@ def _stem(path: Column) -> Column:
 
 
 def read_overviews(spark: SparkSession, path: str) -> DataFrame:
-    """One row per overview.  Archives are streamed up to their overview member.
+    """One row per overview: ``*.json`` documents, and ``<root>/overview.json`` wherever it stands in an archive.
 
-    A folder is searched for ``*.json`` documents and ``*.tar`` / ``*.tar.gz``
-    archives; members that cannot be read are skipped.
+    Documents and members that cannot be read are skipped.
     """
-    files = spark.read.format("binaryFile").load(path).select("path")
-    name = F.col("path")
-    loose = name.endswith(".json")
-    packed = name.rlike(r"\.(tar|tar\.gz|tgz)$")
+    known = openers()
+    files = listed(path, known)
+    loose = [(f,) for f in files if f.endswith(".json")]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            pdf["text"] = [_overview_text(p) for p in pdf["path"]]
+            pdf["text"] = [_text(p, known) for p in pdf["path"]]
             yield pdf
 
-    # only paths travel to Python; documents are opened there
-    texts = files.filter(loose | packed).repartition("path").mapInPandas(read, "path string, text string")
+    texts = read_members(spark, path, f"*/{MEMBER}", content=True).select(
+        "path", F.col("content").cast("string").alias("text"), "member"
+    )
+    texts = texts.filter(F.size(F.split("member", "/")) == 2).drop("member")
+    if loose:
+        # only paths travel to Python; documents are opened there
+        paths = spark.createDataFrame(loose, "path string").repartition("path")
+        texts = texts.unionByName(paths.mapInPandas(read, "path string, text string"))
     doc = F.from_json("text", OVERVIEW, {"mode": "PERMISSIVE"})
     parsed = texts.withColumn("_doc", doc).filter(F.col("_doc.summary").isNotNull())
     return parsed.select(*overview_columns(_stem(F.col("path")), F.col("_doc")))
 
 
-def _overview_text(path: str) -> str | None:
+def _text(path: str, known: dict) -> str | None:
     try:
-        fs, local = open_target(path)
-        if path.endswith(".json"):
-            with fs.open_input_stream(local, compression=None) as f:
-                return f.read().decode()
-        with fs.open_input_stream(local, compression=None) as f, tarfile.open(fileobj=f, mode="r|*") as tar:
-            for member in tar:
-                if posixpath.basename(member.name) == MEMBER and member.name.count("/") == 1:
-                    return tar.extractfile(member).read().decode()
-    except (OSError, tarfile.TarError, UnicodeDecodeError):
+        fs, local = open_target(path, known)
+        with fs.open_input_stream(local, compression=None) as f:
+            return f.read().decode()
+    except (OSError, ValueError):
         return None
-    return None
