@@ -33,8 +33,9 @@ TASK_ITEMS = 50_000
 FAN_IN = 8
 #: A round must lower the number of underfull bins by this share for another one to follow.
 PROGRESS = 0.02
-#: Words a worker keeps the ids of.
-CACHE = 200_000
+#: Words, and parts of words, that a generation of a worker's cache holds.  The one before it is kept as well, so words
+#: that recur stay, and no text makes it forget them all.
+CACHE = 400_000
 #: Characters of a text that are split into words at a time.
 STRETCH = 1 << 20
 
@@ -57,11 +58,13 @@ class _Ids(dict):
     def __init__(self, make: Callable[[str], bytes]) -> None:
         super().__init__()
         self.make = make
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE:
+            self.before = dict(self)
             self.clear()
-        made = self[word] = self.make(word)
+        made = self[word] = self.before.get(word) or self.make(word)
         return made
 
 
@@ -76,8 +79,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # names of special tokens are ordinary text
         self.model = self.tokenizer.model
+        # names of added tokens are those tokens, wherever they stand
+        self.marks = {t.content: k for k, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.mark = re.compile("|".join(map(re.escape, sorted(self.marks, key=len, reverse=True)))) if self.marks else None
         self.parts = _Ids(self._part)
         self.words = _Ids(self._word)
 
@@ -93,6 +98,11 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
+        if word.isascii():
+            if word.isalpha():
+                return self.parts[word.lower()]
+            if word[:-1].isalpha():  # a letter or sign that ends it is a part of its own
+                return self.parts[word[:-1].lower()] + self.parts[word[-1]]
         if not _PLAIN.fullmatch(word):
             return self._encode(word)
         return b"".join([self.parts[p.lower()] for p in _RUNS.findall(word)])
@@ -100,6 +110,18 @@ class Encoder:
     def ids(self, text: str) -> bytes:
         """Ids of the text and the end of the document."""
         made, at = [], 0
+        if self.mark is not None:
+            for found in self.mark.finditer(text):
+                self._add(text[at : found.start()], made)
+                made.append(self.marks[found[0]].to_bytes(4, "little"))
+                at = found.end()
+        self._add(text[at:] if at else text, made)
+        made.append(END.to_bytes(4, "little"))
+        return b"".join(made)
+
+    def _add(self, text: str, made: list[bytes]) -> None:
+        """The ids of a text without added tokens, word by word."""
+        at = 0
         while at < len(text):
             end = at + STRETCH
             if end < len(text):
@@ -109,8 +131,6 @@ class Encoder:
             found = _GAP.split(part) if any(c in part for c in _ODD) else part.split()
             made += map(self.words.__getitem__, found)
             at = end
-        made.append(END.to_bytes(4, "little"))
-        return b"".join(made)
 
 
 @functools.cache
