@@ -41,6 +41,12 @@ def _sample(success_rule: str) -> Column:
     return F.when(~_failed(success_rule) & (F.col("ttfb") > 0), F.col("ttfb"))
 
 
+def hosted_samples(log: DataFrame, interval: str, success_rule: str = BY_PRESSURE) -> DataFrame:
+    """``(host, window, sample)``: the latencies that count, each with its interval."""
+    samples = _hosted(log).select("host", F.window("ts", interval).alias("window"), _sample(success_rule).alias("sample"))
+    return samples.filter(F.col("sample").isNotNull())
+
+
 def _interval_seconds() -> Column:
     start, end = F.col("window.start").cast("double"), F.col("window.end").cast("double")
     return end - start
@@ -192,16 +198,20 @@ def streaming_snapshot(
     min_samples: int = MIN_SAMPLES,
     success_rule: str = BY_PRESSURE,
     accuracy: int | None = None,
+    sketch_k: int | None = None,
 ) -> DataFrame:
     """``interval_snapshot`` of a stream; late rows are dropped.
 
     The state of an open interval holds its distinct latencies.  Where a host
     sends too many of them, ``accuracy`` bounds the state with an approximate
-    percentile.
+    percentile, or ``sketch_k`` with a sketch of that size, of a stated rank
+    error (``sketches.rank_error``), which is handed on as ``sketch``.
     """
     marks = F.array(*[F.lit(p) for p in PERCENTILES.values()])
     sample = _sample(success_rule)
-    if accuracy is None:
+    if sketch_k is not None:
+        latency = F.kll_sketch_agg_double(sample, sketch_k)
+    elif accuracy is None:
         latency = F.percentile(sample, marks)
     else:
         latency = F.percentile_approx(sample, marks, accuracy)
@@ -212,5 +222,9 @@ def streaming_snapshot(
         .agg(*_counts(success_rule), latency.alias("_p"))
     )
     enough = F.col("n_samples") >= min_samples
+    if sketch_k is not None:
+        marks = [F.kll_sketch_get_quantile_double("_p", F.lit(p)) for p in PERCENTILES.values()]
+        named = [F.when(enough, m).alias(name) for name, m in zip(PERCENTILES, marks)]
+        return grouped.select(*_metric_columns(), *named, F.when(F.col("n_samples") > 0, F.col("_p")).alias("sketch"))
     named = [F.when(enough, F.col("_p")[i]).alias(name) for i, name in enumerate(PERCENTILES)]
     return grouped.select(*_metric_columns(), *named)

@@ -9,8 +9,7 @@ filtered out of any chunk, the rows are not even shuffled.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -18,18 +17,23 @@ from urlsheaf.functions.text import whole_quotient
 from urlsheaf.session import materialise
 
 CHUNK_ROWS = 1 << 20
+#: Bytes of input for a range, and the size from which on an estimate only says that nothing is known.
+CHUNK_BYTES = 128 << 20
+UNKNOWN_BYTES = 1 << 60
 # Values of the first four hexadecimal digits of a hash.
 SAMPLE_RANGES = 1 << 16
 
 _FILE, _POS, _CHUNK, _BASE = "_file", "_pos", "_chunk", "_base"
 
 
-def _resolves(df: DataFrame, *names: str) -> bool:
-    try:
-        df.select(*names)
-    except AnalysisException:
-        return False
-    return True
+def _file_facts(df: DataFrame) -> set[str]:
+    """What the scan below a frame can tell of a row's place, as its analysed plan says."""
+    known = df._jdf.queryExecution().analyzed().metadataOutput()
+    found: set[str] = set()
+    for i in range(known.size()):
+        if known.apply(i).name() == "_metadata":
+            found |= set(known.apply(i).dataType().fieldNames())
+    return found
 
 
 def with_position(df: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -41,11 +45,12 @@ def with_position(df: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """
     pos = F.col("_metadata.row_index")
     chunk = whole_quotient(F.col(_POS), F.lit(chunk_rows)).alias(_CHUNK)
-    if _resolves(df, "_metadata.row_index"):
+    known = _file_facts(df)
+    if "row_index" in known:
         placed = df.select("*", F.col("_metadata.file_path").alias(_FILE), pos.alias(_POS))
         return placed.select("*", chunk)
     number = F.monotonically_increasing_id()
-    if _resolves(df, "_metadata.file_path", "_metadata.file_block_start"):
+    if {"file_path", "file_block_start"} <= known:
         start = F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0")
         file = F.concat_ws("#", F.col("_metadata.file_path"), start)
     else:
@@ -73,18 +78,30 @@ def prefix_sums(df: DataFrame, order_by: list[Column], value: str | None, out: s
     return _running(df, order_by, value, out)[0]
 
 
-def in_ranges(df: DataFrame, order_by: list[Column], name: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """``df`` written in ranges of about ``chunk_rows`` rows, numbered by ``_chunk``."""
+def _input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that a plan reads, as far as they are known."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < UNKNOWN_BYTES)
+
+
+def in_ranges(df: DataFrame, order_by: list[Column], name: str) -> tuple[DataFrame, int]:
+    """``df`` written in ranges, numbered by ``_chunk``, and the number of its rows.
+
+    Nothing is counted beforehand: the size of what the plan reads gives the number of ranges, of about ``CHUNK_BYTES``
+    each.  Rows are counted in the tasks that write them, so none is counted twice.
+    """
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(least, -(-df.count() // chunk_rows))
-    return materialise(
-        df.repartitionByRange(parts, *order_by).withColumn(_CHUNK, F.spark_partition_id()), name
-    )
+    parts = max(least, -(-_input_bytes(df) // CHUNK_BYTES))
+    ranged = df.repartitionByRange(parts, *order_by).withColumn(_CHUNK, F.spark_partition_id())
+    seen = Observation()
+    written = materialise(ranged.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return written, seen.get["n"]
 
 
 def _running(df: DataFrame, order_by: list[Column], value: str | None, out: str) -> tuple[DataFrame, int]:
-    """Running sums and the number of rows, which the written files know."""
-    ranged = in_ranges(df, order_by, "ranged")
+    """Running sums and the number of rows."""
+    ranged, rows = in_ranges(df, order_by, "ranged")
     amount = F.lit(1) if value is None else F.col(value)
     sums = ranged.groupBy(_CHUNK).agg(F.sum(amount).alias("_n"))
     # one row per chunk
@@ -95,7 +112,7 @@ def _running(df: DataFrame, order_by: list[Column], value: str | None, out: str)
     else:
         local = F.coalesce(F.sum(value).over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     summed = ranged.join(offsets, _CHUNK).withColumn(out, (F.col(_BASE) + local).cast("long"))
-    return summed.drop(_CHUNK, _BASE), ranged.count()
+    return summed.drop(_CHUNK, _BASE), rows
 
 
 def _position_cells(placed: DataFrame, *keys: str) -> DataFrame:

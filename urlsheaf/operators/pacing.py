@@ -32,9 +32,8 @@ def pace_requests(
     # never null, so rows are shuffled once by host and chunk for all that follows
     keyed = df.withColumn("_host", F.coalesce(F.col(host), F.lit(UNKNOWN_HOST)))
     delayed = keyed.withColumn("delay", F.when(known, spacing).otherwise(UNKNOWN_DELAY))
-    ranged = in_ranges(delayed, [F.col(k) for k in ("_host", *order)], "paced").filter(
-        F.col("_host").isNotNull() & F.col("_chunk").isNotNull()
-    )
+    written, _ = in_ranges(delayed, [F.col(k) for k in ("_host", *order)], "paced")
+    ranged = written.filter(F.col("_host").isNotNull() & F.col("_chunk").isNotNull())
     inside = W.partitionBy("_host", "_chunk").orderBy(*order)
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     local = ranged.withColumn("_s", F.sum("delay").over(upto)).withColumn("_ahead", F.col(arrival) - F.col("_s"))

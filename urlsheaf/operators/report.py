@@ -81,8 +81,34 @@ def performance_summary(log: DataFrame) -> DataFrame:
     )
 
 
-def run_report(performance: DataFrame, totals: DataFrame, stats: DataFrame) -> DataFrame:
-    """One row of structs per run summary; ``totals`` and ``stats`` are one-row frames."""
+def run_report(
+    performance: DataFrame,
+    totals: DataFrame,
+    stats: DataFrame,
+    errors: DataFrame | None = None,
+    run_info: dict | None = None,
+) -> DataFrame:
+    """One row of structs per run summary; ``totals`` and ``stats`` are one-row frames.
+
+    ``errors`` are the counted errors of all partitions, which the report lists most frequent first; ``run_info`` is
+    told by the report as it is (what was run, on what).
+    """
+    made = _report(performance, totals, stats)
+    entry = F.struct((-F.col("n")).alias("rank"), "status_code", "error", F.col("n").alias("count"))
+    if errors is not None:
+        # rows are already counted: one entry per different error
+        listed = errors.agg(F.array_sort(F.collect_list(entry)).alias("_errors")).withColumn("_one", F.lit(1))
+        made = made.withColumn("_one", F.lit(1)).join(listed, "_one", "left")
+        kept = F.transform("_errors", lambda e: F.struct(e["status_code"], e["error"], e["count"]))
+        made = made.withColumn("error_breakdown", kept).drop("_errors", "_one")
+    if run_info is not None:
+        told = [F.lit(v).cast("string").alias(k) for k, v in run_info.items()]
+        date = F.substring("run_stats.run_start", 1, 10).alias("run_date")
+        made = made.withColumn("run_info", F.struct(*told, date))
+    return made
+
+
+def _report(performance: DataFrame, totals: DataFrame, stats: DataFrame) -> DataFrame:
     known = totals.first().asDict() | stats.first().asDict()
     known["_failed"] = known.pop("failed_downloads")
     whole = performance.select("*", *[F.lit(v).alias(k) for k, v in known.items()])

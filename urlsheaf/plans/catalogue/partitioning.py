@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from urlsheaf.operators import manifest as manifests
-from urlsheaf.operators import ordering, packing, pacing, partition, probe
+from urlsheaf.operators import ordering, packing, pacing, partition, probe, sketches
 from urlsheaf.operators.transport import first_working
 from urlsheaf.plans import collect
 from urlsheaf.plans.catalogue.inputs import (
@@ -30,6 +31,7 @@ from urlsheaf.plans.catalogue.inputs import (
 )
 from urlsheaf.plans.catalogue.registry import query
 from urlsheaf.functions.urls import repair_candidates
+from urlsheaf.session import materialise
 
 LARGE = 16
 HOSTED = f"{LINES}, hosted AS (SELECT url, label, {sql_host('url')} AS host FROM lines)"
@@ -133,6 +135,46 @@ def partition_summary(spark, sf):
     return partition.partition_summary(partition.partition_by_host(manifest(spark, sf), "url", GROUPS))
 
 
+_SQL_SKETCHED = f"""all_urls AS (SELECT label AS "group", {sql_host('url')} AS host, url FROM manifest
+  UNION ALL SELECT label, {sql_host('url')}, url FROM docs)"""
+
+
+def _two_manifests(spark, sf):
+    """Sketches of two manifests, stored; the rows of neither are read again."""
+    both = (manifest(spark, sf).select("url", F.col("label").alias("group")), docs(spark, sf).select("url", F.col("label").alias("group")))
+    return [materialise(sketches.host_sketches(m, "url"), "hosts") for m in both], both
+
+
+@query("sketched_hosts", f'WITH {MANIFEST}, {DOCS}, {_SQL_SKETCHED} SELECT "group", count(DISTINCT host) AS n_hosts FROM all_urls GROUP BY 1')
+def _(spark, sf):
+    made, _ = _two_manifests(spark, sf)
+    return sketches.estimated_hosts(sketches.merged_hosts(*made)).select("group", F.col("n_hosts").cast("long").alias("n_hosts"))
+
+
+@query(
+    "shared_hosts",
+    f"""WITH {MANIFEST}, {DOCS}, {_SQL_SKETCHED}, held AS (SELECT DISTINCT "group", host FROM all_urls),
+names AS (SELECT "group" AS a, lead("group") OVER (ORDER BY "group") AS b FROM (SELECT DISTINCT "group" FROM all_urls))
+SELECT a, b, (SELECT count(*) FROM held x JOIN held y USING (host) WHERE x."group" = a AND y."group" = b) AS n_shared
+FROM names WHERE b IS NOT NULL""",
+)
+def _(spark, sf):
+    """Each group with the next one by name."""
+    merged = materialise(sketches.merged_hosts(*_two_manifests(spark, sf)[0]), "merged")
+    # one row per group
+    pairs = merged.select(F.col("group").alias("a"), F.lead("group").over(Window.orderBy("group")).alias("b")).filter("b IS NOT NULL")
+    return sketches.shared_hosts(merged, pairs).withColumn("n_shared", F.col("n_shared").cast("long"))
+
+
+@query("sketched_urls", f"WITH {MANIFEST}, {DOCS}, {_SQL_SKETCHED} SELECT true AS close FROM (SELECT count(DISTINCT url) AS n FROM all_urls)")
+def _(spark, sf):
+    """Different URLs of both manifests, within five standard errors."""
+    both = _two_manifests(spark, sf)[1]
+    estimate = sketches.estimated_urls(*[sketches.url_sketch(m, "url") for m in both]).first()[0]
+    exact = both[0].select("url").unionByName(both[1].select("url")).agg(F.count_distinct("url").alias("n"))
+    return exact.select((F.abs(F.col("n") - estimate) <= 5 * sketches.distinct_error() * F.col("n") + 1).alias("close"))
+
+
 @query(
     "hosts_per_partition",
     f'WITH RECURSIVE {GROUPED} SELECT "group", count(DISTINCT host) AS n_hosts FROM grouped GROUP BY 1',

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from urlsheaf.operators import outcomes, report
 from urlsheaf.plans.catalogue.inputs import OUTCOMES, outcome_rows, table
 from urlsheaf.plans.catalogue.registry import query
-from urlsheaf.session import scratch_path
+from urlsheaf.session import materialise, scratch_path
 from urlsheaf.sinks.reports import overview_documents, write_overview, write_report
 from urlsheaf.sources.logs import read_performance_log
 from urlsheaf.sources.overviews import OVERVIEW, overview_columns, read_overviews
@@ -224,13 +224,22 @@ SELECT strftime(make_timestamp(t0), '%Y-%m-%d %H:%M:%S') AS run_start,
   round(bytes_received / 1099511627776.0, 2) AS "bytes_received_TB",
   CAST(u AS BIGINT) AS total_urls, CAST(ok AS BIGINT) AS successful_downloads, CAST(bad AS BIGINT) AS failed_downloads,
   round(ok * 100.0 / u, 2) AS success_rate_percent, round(mb / 1048576.0, 2) AS "total_downloaded_TB",
-  round(mb / wall_sec, 2) AS "effective_throughput_MBps", n_partitions, success_rate_avg, throughput_mbps_max
+  round(mb / wall_sec, 2) AS "effective_throughput_MBps", n_partitions, success_rate_min, success_rate_max, success_rate_avg,
+  throughput_mbps_min, throughput_mbps_max, throughput_mbps_avg, 'logs/run' AS run_directory, 'out' AS output_directory,
+  strftime(make_timestamp(t0), '%Y-%m-%d') AS run_date, CAST(NULL AS VARCHAR) AS config_file,
+  (SELECT string_agg(s || '|' || e || '|' || n, ';' ORDER BY n DESC, s, e) FROM (
+     SELECT coalesce(CAST(status_code AS VARCHAR), 'unknown') AS s, coalesce(error, 'Unknown error') AS e, count(*) AS n
+     FROM outcomes WHERE NOT success GROUP BY 1, 2)) AS errors
 FROM runs, totals, stats""",
 )
 def _(spark, sf):
     views = _overviews(spark, sf)
     performance = report.performance_summary(performance_log(spark, sf, runs=1))
-    made = report.run_report(performance, report.run_totals(views), report.partition_stats(views))
+    views = materialise(views, "views")
+    told = {"run_directory": "logs/run", "config_file": None, "output_directory": "out"}
+    made = report.run_report(
+        performance, report.run_totals(views), report.partition_stats(views), report.run_errors(views), told
+    )
     path = scratch_path(spark, "report")
     write_report(made, path)
     back = spark.read.schema(made.schema).json(path)
@@ -238,8 +247,12 @@ def _(spark, sf):
         "run_stats.*",
         "download_stats.*",
         F.col("partition_stats.count").alias("n_partitions"),
-        F.col("partition_stats.success_rate.avg").alias("success_rate_avg"),
-        F.col("partition_stats.throughput_MBps.max").alias("throughput_mbps_max"),
+        *[F.col(f"partition_stats.success_rate.{k}").alias(f"success_rate_{k}") for k in ("min", "max", "avg")],
+        *[F.col(f"partition_stats.throughput_MBps.{k}").alias(f"throughput_mbps_{k}") for k in ("min", "max", "avg")],
+        "run_info.*",
+        F.array_join(
+            F.transform("error_breakdown", lambda e: F.concat_ws("|", e["status_code"], e["error"], e["count"].cast("string"))), ";"
+        ).alias("errors"),
     )
 
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import functions as F
 
-from urlsheaf.operators import control, intervals, signals
+from urlsheaf.operators import control, intervals, signals, sketches
 from urlsheaf.plans.catalogue.inputs import INTERVAL, LOG, OUTCOMES, RTPROP_SECONDS, log_columns, outcome_rows, request_log, table
 from urlsheaf.plans.catalogue.registry import query
 from urlsheaf.session import materialise, scratch_path
 from urlsheaf.streaming import control as stream_control
+from urlsheaf.streaming import signals as live_signals
 from urlsheaf.streaming import telemetry as live
+from urlsheaf.streaming.progress import ProgressTotals
 
 _AT = "CAST(epoch(interval_start) AS BIGINT) AS at"
 _SECS = 21600.0
@@ -223,17 +227,17 @@ def _(spark, sf):
     return _at(signals.control_interval(_signal_rows(spark, sf)), _r("control_interval"))
 
 
-@query(
-    "underperformance",
-    f"""WITH {SIGNALS}, flagged AS (
+_SQL_STREAKS = f"""WITH {SIGNALS}, flagged AS (
   SELECT *, goodput_rps >= 1 AND goodput_rps < concurrency / coalesce(rtprop, 0.2) * 0.5 AS low,
          goodput_rps >= 1 AND NOT goodput_rps < concurrency / coalesce(rtprop, 0.2) * 0.5 AS fine FROM rows),
 islands AS (SELECT *, sum(CAST(fine AS INTEGER)) OVER (PARTITION BY host ORDER BY interval_start
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM flagged),
 streaks AS (SELECT *, sum(CAST(low AS INTEGER)) OVER (PARTITION BY host, island ORDER BY interval_start
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS streak FROM islands)
-SELECT host, {_AT}, CAST(streak AS BIGINT) AS streak, low AND streak % 2 = 0 AS revise_ceiling FROM streaks""",
-)
+SELECT host, {_AT}, CAST(streak AS BIGINT) AS streak, low AND streak % 2 = 0 AS revise_ceiling FROM streaks"""
+
+
+@query("underperformance", _SQL_STREAKS)
 def _(spark, sf):
     return _at(signals.underperformance(_signal_rows(spark, sf), runs=2), "streak", "revise_ceiling")
 
@@ -273,6 +277,18 @@ def _(spark, sf):
     return _advice(control.recommend_concurrency(rows, HOURLY))
 
 
+@contextlib.contextmanager
+def state_store(spark):
+    """Keyed state needs the RocksDB store; the setting is given back afterwards."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, stream_control.STATE_STORE)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def _live_log(spark, sf):
     schema = table(spark, sf, "events").schema
     return log_columns(live.read_log_stream(spark, sf, schema, "events.parquet"))
@@ -295,14 +311,97 @@ def _(spark, sf):
 @query("stream_concurrency")
 def _(spark, sf):
     stream = live.stream_interval_metrics(_calm(_live_log(spark, sf)), INTERVAL)
-    # keyed state needs the RocksDB store; the setting is given back afterwards
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, stream_control.STATE_STORE)
-    try:
+    with state_store(spark):
         return _advice(live.run_available(stream_control.stream_concurrency(stream, HOURLY)))
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def _streamed_signals(spark, sf, **settings):
+    """Signals of the interval rows as a stream that reads a third of the time at a time."""
+    rows = _snapshot(spark, sf).select(
+        "host", "interval_start", "interval_end", "p10_raw", "p50_raw", "p95_raw", "mean_file_size",
+        F.col("n_errors").alias("concurrency"), (F.col("n_success") * 100.0 - 600).alias("goodput_rps"),
+    )
+    folder = scratch_path(spark, "intervals")
+    began, ended = rows.agg(F.min("interval_start"), F.max("interval_start")).first()
+    for k in range(3):
+        part = F.least(F.floor((F.unix_seconds("interval_start") - F.unix_seconds(F.lit(began))) * 3 / max(1, (ended - began).total_seconds())), F.lit(2))
+        rows.filter(part == k).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    plan = live_signals.Signals(window_seconds=RTPROP_SECONDS, **settings)
+    with state_store(spark):
+        return live.run_available(live_signals.stream_signals(stream, plan))
+
+
+@query(
+    "stream_ema",
+    f"""WITH RECURSIVE {METRICS}, {_sql_ema('metrics', _LATENCY, 0.3)}
+SELECT host, {_AT}, CAST(p10 AS FLOAT) AS p10, CAST(p50 AS FLOAT) AS p50, CAST(p95 AS FLOAT) AS p95 FROM smooth""",
+)
+def _(spark, sf):
+    return _at(_streamed_signals(spark, sf), _single("p10"), _single("p50"), _single("p95"))
+
+
+@query("stream_rtprop", f"WITH {METRICS}, {_RTPROP} SELECT host, {_AT}, round(rtprop, 9) AS rtprop FROM latent")
+def _(spark, sf):
+    return _at(_streamed_signals(spark, sf), _r("rtprop"))
+
+
+@query("stream_underperformance", _SQL_STREAKS)
+def _(spark, sf):
+    return _at(_streamed_signals(spark, sf, runs=2), "streak", "revise_ceiling")
+
+
+# Sketches are merged from hours to the interval; a host's sketch tells ranks within its bound.
+_SQL_RANKS = f"""WITH {METRICS} SELECT host, {_AT}, n_samples, true AS p10_close, true AS p50_close, true AS p95_close
+FROM metrics WHERE n_samples >= 5"""
+
+
+def _close(df, log):
+    """Whether the true ranks of the sketched percentiles are as near as the bound says."""
+    cells = df.filter("n_samples >= 5").select("host", "interval_start", "n_samples", *intervals.PERCENTILES)
+    samples = intervals.hosted_samples(log, INTERVAL).select("host", F.col("window.start").alias("interval_start"), "sample")
+    ranks = [F.avg((F.col("sample") <= F.col(n)).cast("double")).alias(f"_{n}") for n in intervals.PERCENTILES]
+    met = samples.join(cells, ["host", "interval_start"]).groupBy("host", "interval_start", "n_samples").agg(*ranks)
+    slack = sketches.rank_error() + 1.0 / F.col("n_samples")
+    close = [(F.abs(F.col(f"_{n}") - p) <= slack).alias(f"{n[:3]}_close") for n, p in intervals.PERCENTILES.items()]
+    return _at(met, "n_samples", *close)
+
+
+@query("sketched_percentiles", _SQL_RANKS)
+def _(spark, sf):
+    log = materialise(request_log(spark, sf), "log")
+    hourly = materialise(sketches.latency_sketches(log, "1 hour"), "sketches")
+    merged = sketches.sketched_percentiles(sketches.coarser(hourly, INTERVAL), 5)
+    return _close(merged, log)
+
+
+@query("stream_sketched_percentiles", f"{_SQL_RANKS} AND {_CLOSED}")
+def _(spark, sf):
+    stream = intervals.streaming_snapshot(_live_log(spark, sf), INTERVAL, live.LATENESS, sketch_k=sketches.QUANTILE_K)
+    return _close(live.run_available(stream), request_log(spark, sf))
+
+
+_SQL_LATE = f"""WITH {LOG}, early AS (SELECT * FROM log WHERE ts <= (SELECT max(ts) - INTERVAL '5 days' FROM log)),
+due AS (SELECT DISTINCT host, time_bucket(INTERVAL '6 hours', ts) AS w FROM early)
+SELECT (SELECT count(*) FROM log) + 1 AS kept, (SELECT count(*) FROM due) AS dropped"""
+
+
+@query("stream_late_rows", _SQL_LATE)
+def _(spark, sf):
+    """All rows, the latest again, and then one more for each host and interval of the past: those are late, as the
+    watermark of a batch holds for the next but one."""
+    folder = scratch_path(spark, "log")
+    rows = materialise(request_log(spark, sf), "log")
+    rows.coalesce(1).write.parquet(folder)
+    rows.orderBy(F.desc("ts"), "host").limit(1).coalesce(1).write.mode("append").parquet(folder)
+    old = rows.filter(F.col("ts") <= rows.agg(F.max("ts") - F.expr("INTERVAL 5 DAYS")).first()[0])
+    due = old.withColumn("_w", F.window("ts", INTERVAL)).dropDuplicates(["host", "_w"]).select(rows.columns)
+    due.coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    with ProgressTotals(spark) as totals:
+        live.run_available(live.stream_interval_metrics(stream, INTERVAL))
+        told = totals.table()
+    return told.select((F.col("input_rows") - F.col("late_rows")).alias("kept"), F.col("late_rows").alias("dropped"))
 
 
 @query(

@@ -53,7 +53,8 @@ def run_available(stream: DataFrame, mode: str = "append") -> DataFrame:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows a query's watermark has dropped so far."""
+    """Rows that were late in the batches whose progress a query still holds, the last 100; ``progress.ProgressTotals``
+    counts those of all batches."""
     return sum(
         operator["numRowsDroppedByWatermark"]
         for progress in query.recentProgress
