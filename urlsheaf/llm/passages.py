@@ -143,7 +143,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks ordered by key, chunk and place: covered ones, and those whose key has different chunks."""
-    previous = None  # last chunk seen of a key that comes in several parts
+    previous, place = None, None  # last chunk of a key that comes in several parts, and where it stands
     for large, group in whole_groups(batches, "key", KEY_CHUNKS):
         key, doc, tie, at = (group.column(c).to_numpy() for c in ("key", "doc_id", "tie", "at"))
         covered = np.asarray(group.column("chunk").is_null())
@@ -153,10 +153,12 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again[1:] = same_key & (chunk[1:] == chunk[:-1]) & ~covered[1:] & ~covered[:-1]
         if large and previous == (key[0], chunk[0]) and not covered[0]:
             again[0] = True
-        previous = (key[-1], chunk[-1])
         new = ~(covered | again)
-        # a repeated row is the same place
+        # a repeated row is the same place, on this side of a seam and across it
         again[1:] &= (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1]) | (at[1:] != at[:-1])
+        again[0] &= place != (doc[0], tie[0], at[0])
+        previous = None if covered[-1] else (key[-1], chunk[-1])
+        place = (doc[-1], tie[-1], at[-1])
         gone = covered | again
         if gone.any():
             yield _batch(key[gone], [None] * int(gone.sum()), doc[gone], tie[gone], at[gone])
