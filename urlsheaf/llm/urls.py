@@ -22,7 +22,11 @@ RULES = (
     ("org", "/fr/", "allow"),
 )
 DEFAULT = "allow"
-_TAG = r"(?is)<(?:link|meta)\b[^>]*>"
+#: Comments and scripts.  One that is never closed is matched to the end as well, so that no second one is looked for,
+#: and its text is kept.
+_HIDDEN = r"(?is)<!--(?:.*?-->|(.*)\z)|<script\b(?:.*?</script\s*>|(.*)\z)"
+#: A tag; one that is never closed runs to the end and is left out afterwards.
+_TAG = r"(?is)<(?:link|meta)\b[^>]*(?:>|\z)"
 _CANONICAL = r"(?is)\brel\s*=\s*[\"']?canonical\b"
 _HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 _REFRESH = r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b"
@@ -61,8 +65,10 @@ def resolved(href: Column, url: Column) -> Column:
 def page_edges(pages: DataFrame) -> DataFrame:
     """``(a, b)``: pages' nodes and those their canonical links and refreshes lead to."""
     marked = pages.select("url", "html").where(F.col("html").rlike("(?i)canonical|http-equiv"))
-    bare = F.regexp_replace("html", "(?is)<!--.*?-->|<script\\b.*?</script\\s*>", " ")
-    tags = marked.select("url", F.explode(F.regexp_extract_all(bare, F.lit(_TAG), F.lit(0))).alias("tag"))
+    bare = F.regexp_replace("html", _HIDDEN, " $1$2")
+    tags = marked.select("url", F.explode(F.regexp_extract_all(bare, F.lit(_TAG), F.lit(0))).alias("tag")).where(
+        F.col("tag").endswith(">")
+    )
     href = F.when(F.col("tag").rlike(_CANONICAL), F.regexp_extract("tag", _HREF, 1)).when(
         F.col("tag").rlike(_REFRESH), F.regexp_extract("tag", _TARGET, 1)
     )
