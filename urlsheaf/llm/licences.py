@@ -1,9 +1,10 @@
 """License scans by a positional rare-token index.
 
-Every template has mandatory key phrases.  The highest-IDF word of its key phrases, by document frequencies over the
-whole corpus, is its anchor: a file without that word cannot hold the template.  Where a file has an anchor, the
-postings of the template's other words are intersected by relative position, and a place where enough of them stand is
-verified: all key phrases must stand there as consecutive words.
+A template has a text and mandatory key phrases.  The index holds, for the rarest words of each template, by document
+frequencies over the whole corpus, the places where they stand in it: as many that a text which has enough of the
+template's words must have at least ``MEET`` of these.  A file looks up its words of highest IDF, those the index knows;
+the postings are intersected by relative position, and where enough of a template's rare words meet, all its words are
+compared and the key phrases verified.  A file costs what its rare words hit, however many templates there are.
 """
 
 from __future__ import annotations
@@ -97,6 +98,10 @@ TEMPLATES = (
 #: Least share of a template's words that must stand at their relative places, and how many places one may be off.
 LEAST_SHARE = 0.8
 SLACK = 2
+#: Rare words that must meet where a template may begin.
+MEET = 2
+#: Most bytes of template texts that are indexed.
+TEMPLATE_BYTES = 16 << 20
 _LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 #: A-Z in lower case; what is neither letter nor digit, of ASCII, becomes a blank.
 _WORDS = bytes(
@@ -114,31 +119,72 @@ class Template:
     label: str
     words: list[bytes]
     phrases: list[bytes]
-    anchor: bytes
-    anchor_at: list[int]
+    #: Words that may be missing, and rare words that must meet.
+    missing: int
+    meet: int
 
 
-def _known_words() -> frozenset[bytes]:
-    return frozenset(w.encode() for _, text, _ in TEMPLATES for w in text.split())
+@dataclass
+class Index:
+    """``postings``: the templates, by number, and the places in them where a rare word stands."""
+
+    templates: list[Template]
+    postings: dict[bytes, list[tuple[int, int]]]
 
+    @classmethod
+    def of(cls, rows: list[tuple[str, str, tuple[str, ...]]], frequency: dict[bytes, int], total: int) -> Index:
+        templates, postings = [], {}
+        for label, text, phrases in rows:
+            own = [w for w in words(text) if w]
+            if not own:
+                continue
+            missing = int((1 - LEAST_SHARE) * len(own) + 1e-9)
+            meet = min(MEET, len(own) - missing)
+            rarity = [math.log((1 + total) / (1 + frequency.get(w, 0))) for w in own]
+            rare = sorted(range(len(own)), key=lambda q: (-rarity[q], q))[: missing + meet]
+            for q in rare:
+                postings.setdefault(own[q], []).append((len(templates), q))
+            joined = [b" ".join(w for w in words(p) if w) for p in phrases]
+            templates.append(Template(label, own, joined, missing, meet))
+        return cls(templates, postings)
 
-def indexed(frequency: dict[bytes, int], total: int) -> list[Template]:
-    """Templates with their anchors: of the words of their key phrases, the one of highest IDF."""
-    made = []
-    for label, text, phrases in TEMPLATES:
-        own = text.encode().split()
-        keys = sorted({w for p in phrases for w in p.encode().split()})
-        anchor = max(keys, key=lambda w: math.log((1 + total) / (1 + frequency.get(w, 0))))
-        made.append(Template(label, own, [p.encode() for p in phrases], anchor, [k for k, w in enumerate(own) if w == anchor]))
-    return made
+    def starts(self, found: list[bytes]) -> dict[int, list[int]]:
+        """Where templates may begin: places that put a rare word at its own, with enough others near theirs."""
+        hits: dict[int, list[tuple[int, int]]] = {}
+        for k, word in enumerate(found):
+            for number, q in self.postings.get(word, ()):
+                hits.setdefault(number, []).append((k - q, q))
+        out = {}
+        for number, own in hits.items():
+            meet = self.templates[number].meet
+            if len({q for _, q in own}) < meet:
+                continue
+            own.sort()
+            # a window of places within the slack slides over the hits
+            near: Counter[int] = Counter()
+            first = last = 0
+            good = []
+            for start, _ in own:
+                while last < len(own) and own[last][0] <= start + SLACK:
+                    near[own[last][1]] += 1
+                    last += 1
+                while own[first][0] < start - SLACK:
+                    near[own[first][1]] -= 1
+                    if not near[own[first][1]]:
+                        del near[own[first][1]]
+                    first += 1
+                if len(near) >= meet and (not good or good[-1] != start):
+                    good.append(start)
+            if good:
+                out[number] = good
+        return out
 
 
-def document_frequencies(docs: DataFrame) -> tuple[dict[bytes, int], int]:
+def document_frequencies(docs: DataFrame, known: frozenset[bytes]) -> tuple[dict[bytes, int], int]:
     """In how many documents each template word stands, over all documents, and how many there are.
 
     Tasks count first; the driver gets one row for each template word.
     """
-    known = _known_words()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
@@ -155,65 +201,73 @@ def document_frequencies(docs: DataFrame) -> tuple[dict[bytes, int], int]:
     return found, found.pop(b"", 0)
 
 
-def _places(found: list[bytes], template: Template) -> float:
-    """The largest share of template words at their places, key phrases included; 0 if there is no such place."""
-    best, n = 0.0, len(template.words)
-    at: dict[bytes, list[int]] = {}
-    own = set(template.words)
-    for k, w in enumerate(found):
-        if w in own:
-            at.setdefault(w, []).append(k)
-    places = {w: set(k) for w, k in at.items()}
-    starts = sorted({k - q for k in at.get(template.anchor, ()) for q in template.anchor_at})
-    for start in starts:
-        shared = sum(
-            any(start + q + s in places.get(w, ()) for s in range(-SLACK, SLACK + 1)) for q, w in enumerate(template.words)
-        )
-        share = shared / n
-        if share >= LEAST_SHARE and share > best:
-            region = b" " + b" ".join(found[max(0, start - SLACK) : start + n + SLACK]) + b" "
-            if all(b" " + p + b" " in region for p in template.phrases):
-                best = share
-    return best
+def _share(found: list[bytes], start: int, template: Template) -> float:
+    """The share of the template's words that stand near their places from ``start`` on, if that is enough and the key
+    phrases stand there; else 0."""
+    left = template.missing
+    for q, word in enumerate(template.words):
+        at = start + q
+        if word not in found[max(0, at - SLACK) : max(0, at + SLACK + 1)]:
+            left -= 1
+            if left < 0:
+                return 0.0
+    n = len(template.words)
+    region = b" " + b" ".join(found[max(0, start - SLACK) : start + n + SLACK]) + b" "
+    if not all(b" " + p + b" " in region for p in template.phrases):
+        return 0.0
+    return (n - template.missing + left) / n
 
 
-def scan(text: str, templates: list[Template], anchors: frozenset[bytes]) -> tuple:
+def scan(text: str, index: Index) -> tuple:
     """n_words, n_base, first_word, last_word, base_labels, labels, score of one text."""
     found = [w for w in words(text) if w]
     joined = b" " + b" ".join(found) + b" "
-    starts, base = [], set()
+    n_base, first, last, base = 0, None, None, set()
     for phrase, label in BASE.items():
         sought = b" " + phrase.encode() + b" "
-        at = joined.find(sought)
+        at, word, counted = joined.find(sought), 0, 0
         while at >= 0:
-            starts.append(joined.count(b" ", 0, at))
+            # blanks are counted from hit to hit
+            word += joined.count(b" ", counted, at)
+            counted = at
+            n_base += 1
             base.add(label)
+            first = word if first is None else min(first, word)
+            last = word if last is None else max(last, word)
             at = joined.find(sought, at + 1)
     labels, score = set(base), 1.0 if base else 0.0
-    if not anchors.isdisjoint(found):
-        present = set(found)
-        for template in templates:
-            if template.anchor in present:
-                share = _places(found, template)
-                if share:
-                    labels.add(template.label)
-                    score = max(score, share)
-    first, last = (min(starts), max(starts)) if starts else (None, None)
-    return len(found), len(starts), first, last, ",".join(sorted(base)), ",".join(sorted(labels)), score
-
-
-def scan_licences(docs: DataFrame) -> DataFrame:
+    for number, starts in index.starts(found).items():
+        template = index.templates[number]
+        share = 0.0
+        for start in starts:
+            share = max(share, _share(found, start, template))
+            if share == 1.0:
+                break
+        if share:
+            labels.add(template.label)
+            score = max(score, share)
+    return len(found), n_base, first, last, ",".join(sorted(base)), ",".join(sorted(labels)), score
+
+
+def scan_licences(docs: DataFrame, templates: tuple | DataFrame = TEMPLATES) -> DataFrame:
     """``(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score)`` of every row of ``docs``.
 
     Base labels are those of the base phrases that stand in a text; ``n_base`` counts all their places, first and last
     word are the smallest and largest start, null without one.  ``labels`` adds those of verified templates.  ``score``
-    is 1 with a base phrase, else the best share of a verified template, else 0.  A null text counts as empty: no
-    words, no labels (empty strings), score 0.  Rows are scanned one by one, so ids may be null or repeated; each
-    counts as a document.  Other columns are ignored.  No documents: no rows.
+    is 1 with a base phrase, else the best share of a verified template, else 0.
+
+    ``templates`` are rows of label, text and key phrases, or a table ``(label, text, phrases)`` of at most
+    ``TEMPLATE_BYTES``, as every task holds their index.  Templates without words are left out.  A null text counts as
+    empty: no words, no labels (empty strings), score 0.  Rows are scanned one by one, so ids may be null or repeated;
+    each counts as a document.  Very long texts cost in proportion.  Other columns are ignored.  No documents: no rows.
     """
-    frequency, total = document_frequencies(docs)
-    templates = indexed(frequency, total)
-    anchors = frozenset(t.anchor for t in templates)
+    if isinstance(templates, DataFrame):
+        size = templates.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+        if size > TEMPLATE_BYTES:
+            raise ValueError(f"the templates have {size} bytes; at most {TEMPLATE_BYTES} can be indexed at a time")
+        templates = [(r.label, r.text or "", tuple(r.phrases or ())) for r in templates.collect()]
+    frequency, total = document_frequencies(docs, frozenset(w for _, text, _ in templates for w in words(text) if w))
+    index = Index.of(list(templates), frequency, total)
     schema = pa.schema(
         [("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64())]
         + [("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64())]
@@ -221,7 +275,7 @@ def scan_licences(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
-            columns = zip(*(scan(t, templates, anchors) for t in texts))
+            columns = zip(*(scan(t, index) for t in texts))
             made = [pa.array(c, f.type) for c, f in zip(columns, schema)]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *made], ["doc_id", *schema.names])
 
