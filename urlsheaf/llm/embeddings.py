@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from urlsheaf.llm.common import Scratch, small_batches, whole_groups
+from urlsheaf.llm.common import Scratch, let, small_batches, whole_groups
 from urlsheaf.llm.components import components
 
 COSINE = 0.9
@@ -122,24 +123,24 @@ def _near(keys: np.ndarray, vectors: np.ndarray, cosine: float) -> Iterator[tupl
             yield i[later] + at + start, j[later] + start
 
 
-_MET = "key long, a long, b long, vector array<float>"
+_ARROW = {"float": pa.list_(pa.float32()), "double": pa.list_(pa.float64())}
 
 
-def _met(key, a, b, vector=None) -> pa.RecordBatch:
+def _met(kind: str, key, a, b, vector=None) -> pa.RecordBatch:
     n = len(a)
-    vector = vector if vector is not None else pa.nulls(n, pa.list_(pa.float32()))
+    vector = vector if vector is not None else pa.nulls(n, _ARROW[kind])
     columns = [pa.array(c, pa.int64()) for c in (key, a, b)]
-    return pa.RecordBatch.from_arrays([*columns, vector.cast(pa.list_(pa.float32()))], ["key", "a", "b", "vector"])
+    return pa.RecordBatch.from_arrays([*columns, vector.cast(_ARROW[kind])], ["key", "a", "b", "vector"])
 
 
-def _comparer(cosine: float, block: int | None):
+def _comparer(cosine: float, block: int | None, kind: str):
     """For mapInArrow over (key, cid, vector) ordered by key: links a < b, and members (b null) of groups over ``block``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for large, group in whole_groups(batches, "key", block):
             if large:
                 for part in group.combine_chunks().to_batches():
-                    yield _met(part.column("key"), part.column("cid"), [None] * part.num_rows, part.column("vector"))
+                    yield _met(kind, part.column("key"), part.column("cid"), [None] * part.num_rows, part.column("vector"))
                 continue
             keys, ids = group.column("key").to_numpy(), group.column("cid").to_numpy()
             starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -154,18 +155,26 @@ def _comparer(cosine: float, block: int | None):
                 for i, j in _near(keys[at], vectors, cosine):
                     a, b = ids[at[i]], ids[at[j]]
                     if a.size:
-                        yield _met([None] * a.size, np.minimum(a, b), np.maximum(a, b))
+                        yield _met(kind, [None] * a.size, np.minimum(a, b), np.maximum(a, b))
 
     return run
 
 
+def _kind(rows: DataFrame) -> str:
+    return rows.schema["vector"].dataType.elementType.simpleString()
+
+
 def _compared(rows: DataFrame, cosine: float, block: int | None) -> DataFrame:
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_comparer(cosine, block), _MET)
+    kind = _kind(rows)
+    dealt = rows.repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(_comparer(cosine, block, kind), f"key long, a long, b long, vector array<{kind}>")
 
 
 def class_links(classes: DataFrame, scratch: Scratch, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
     """``(a, b)``, a < b: classes ``(cid, vector)`` whose cosine is at least ``cosine``, as far as they share a filter."""
-    rows = small_batches(classes).select("cid", "vector").mapInArrow(_filtered, "key long, cid long, vector array<float>")
+    rows = small_batches(classes).select("cid", "vector").mapInArrow(
+        _filtered, f"key long, cid long, vector array<{_kind(classes)}>"
+    )
     found = scratch.keep(_compared(rows, cosine, block), "cap-links")
     large = found.where("b IS NULL").select("key", F.col("a").alias("cid"), "vector")
     counts = large.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
@@ -185,20 +194,25 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     Rows are linked if the cosine of their vectors, in double precision, is at least ``cosine``; equal vectors always
     are.  ``n_links`` counts the other rows linked to a row; ``component_id`` is the smallest vec_id that links reach.
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, and so do vectors of
-    different lengths with each other.  A row without id links and is counted, but names no component.  Repeated rows
+    different lengths with each other.  Components of doubles are as good at any size: a vector is scaled by a power of
+    two, which loses nothing, before it is measured.  A row without id links and is counted, but names no component.  Repeated rows
     are rows like others.  Other columns are ignored.  No vectors: no rows.
     """
     scratch = Scratch(vectors.sparkSession)
     wide = F.transform("embedding", lambda x: x.cast("double"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    length = F.aggregate(wide, F.lit(0.0), lambda n, x: n + x * x)
-    good = F.col("embedding").isNotNull() & finite & (length > 0)
+    good = F.col("embedding").isNotNull() & finite & F.exists(wide, lambda x: x != 0)
+    if isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType):
+        vector = F.col("embedding")
+    else:
+        largest = F.array_max(F.transform(wide, F.abs))
+        vector = let(F.pow(F.lit(2.0), F.floor(F.log2(largest))), lambda s: F.transform(wide, lambda x: x / s))
     hashes = [F.when(good, F.xxhash64("embedding")).alias("h1"), F.when(good, F.xxhash64(F.lit(1), "embedding")).alias("h2")]
     rows = vectors.select("vec_id", *hashes, "embedding")
     classes = (
         rows.where("h1 IS NOT NULL")
         .groupBy(*_HASH)
-        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("embedding").cast("array<float>").alias("vector"))
+        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first(vector).alias("vector"))
         .withColumn("cid", F.monotonically_increasing_id())
     )
     classes = scratch.keep(classes, "cap-classes")
