@@ -1,9 +1,10 @@
 """Toxicity: a factorization machine over hashed terms.
 
 A document's terms are its words in lower case and their beginnings of four to six letters, each hashed to 32 bits;
-inflected forms of a stem thus share terms.  Terms that tell toxic from other documents are chosen by a z test on
-document frequencies.  The machine has a weight for each, and a short vector: the product of two vectors is the weight
-of their meeting in one document, so that an insult next to the mention of a group can count for more than both.
+inflected forms of a stem thus share terms.  Terms are chosen by z tests on document frequencies: those that mark toxic
+documents by themselves, and those of pairs that do when they meet or stand alone, even where neither does by itself.
+The machine has a weight for each, and a short vector: the product of two vectors is the weight of their meeting in one
+document, so that an insult next to the mention of a group can count for more than both.
 """
 
 from __future__ import annotations
@@ -23,14 +24,15 @@ from pyspark.sql import types as T
 from urlsheaf.llm.common import small_batches, text_slices
 from urlsheaf.llm.quality import fold, labelled_sample
 
-#: Most labelled rows that the model is fitted on, and most terms it has: the bounds of what one task and the driver see.
+#: Most labelled rows that the model is fitted on: it bounds what one task and the driver see.
 SAMPLE = 10_000
-TERMS = 2048
 FACTORS = 8
 EPOCHS = 12
 BEGINNINGS = (4, 5, 6)
 #: Least documents of a chosen term, least z.
 LEAST_DOCS, LEAST_Z = 3, 3.5
+#: Terms, the most frequent ones, of which every two are tested together, and the z that asks for: there are many pairs.
+PAIRED, PAIR_Z, PAIR_SHARE = 512, 6.0, 0.02
 CACHE = 200_000
 WORDS = re.compile(r"\w+")
 
@@ -77,8 +79,25 @@ class _Known(dict):
         return made
 
 
+def paired_terms(rows: list[tuple[np.ndarray, int]], found: np.ndarray) -> np.ndarray:
+    """Those of the terms ``found`` that tell toxic documents only together with another: where both or neither stand,
+    toxic documents are more or less frequent than the two terms' own shares let expect."""
+    place = {int(t): k for k, t in enumerate(found)}
+    x = np.zeros((len(rows), len(found)), np.float32)
+    for k, (own, _) in enumerate(rows):
+        x[k, [place[t] for t in own.tolist() if t in place]] = 1
+    y = np.array([label for _, label in rows], np.float32)
+    share = x.mean(axis=0)
+    spread = np.sqrt(np.maximum(share * (1 - share), 1e-12))
+    x = (x - share) / spread
+    # three-way moment of two terms and the label, of variance one over the rows where nothing depends on anything
+    met = (x * ((y - y.mean()) / max(1e-6, y.std()))[:, None]).T @ x / math.sqrt(len(rows))
+    np.fill_diagonal(met, 0)
+    return found[(np.abs(met) >= PAIR_Z).any(axis=0)]
+
+
 def choose_terms(rows: list[tuple[np.ndarray, int]]) -> np.ndarray:
-    """Hashes of the terms that differ most between the labels, at most ``TERMS``."""
+    """Hashes of the terms that differ between the labels, by themselves or in pairs."""
     toxic = [t for t, label in rows if label]
     clean = [t for t, label in rows if not label]
     if not toxic or not clean:
@@ -90,8 +109,12 @@ def choose_terms(rows: list[tuple[np.ndarray, int]]) -> np.ndarray:
     share = (a + b) / len(rows)
     spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / len(toxic) + 1 / len(clean)))
     z = (a / len(toxic) - b / len(clean)) / spread
-    good = np.flatnonzero((a + b >= LEAST_DOCS) & (z >= LEAST_Z))
-    return found[good[np.argsort(-z[good], kind="stable")[:TERMS]]]
+    alone = found[(a + b >= LEAST_DOCS) & (z >= LEAST_Z)]
+    every, counts = np.unique(np.concatenate([t for t, _ in rows]), return_counts=True)
+    # frequent, but not so much that nearly all documents agree
+    useful = np.flatnonzero((counts >= PAIR_SHARE * len(rows)) & (counts <= (1 - PAIR_SHARE) * len(rows)))
+    frequent = every[useful[np.argsort(-counts[useful], kind="stable")[:PAIRED]]]
+    return np.union1d(alone, paired_terms(rows, frequent)) if frequent.size else alone
 
 
 def fit(rows: list[tuple[np.ndarray, int]], rate: float = 0.2, decay: float = 1e-4) -> Model:
@@ -147,7 +170,8 @@ def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, limit: int = SAMPLE) -> Model:
-    """The model, fitted in one task on at most ``limit`` documents' terms; the driver gets at most ``TERMS + 1`` rows."""
+    """The model, fitted in one task on at most ``limit`` documents' terms; the driver gets a row for
+    each term that was chosen, which the sample bounds."""
     sample = labelled_sample(docs, labels, label, may_learn, limit)
     coded = sample.mapInArrow(_encoded, "h long, label int, terms array<long>")
     ordered = coded.repartition(1).sortWithinPartitions("h", "terms")
