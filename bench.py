@@ -12,7 +12,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from urlsheaf.plans.catalogue import QUERIES  # noqa: E402
-from urlsheaf.session import builder  # noqa: E402
+from urlsheaf.session import builder, clear_scratch  # noqa: E402
 
 HEADLINE = [
     "clean_manifest",
@@ -65,6 +65,7 @@ def main() -> None:
         began = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - began, 3)
+        clear_scratch(spark)
     spark.stop()
     found = re.search(r"sf([\d.]+)", sf_dir)
     result = {

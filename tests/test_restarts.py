@@ -19,6 +19,7 @@ from urlsheaf.operators.queue import AnotherJobError
 from urlsheaf.operators.requests import plan_requests, slice_by_host
 from urlsheaf.operators.transport import TOO_LARGE, HttpTransport, TableTransport, _Asker, _pieces, failure_text
 from urlsheaf.plans.collect import Job, _keeper, collect_dataset, collect_outcomes, plan_only
+from urlsheaf.session import clear_scratch, materialise, scratch_path
 from urlsheaf.sinks.filesystems import open_target, register_filesystem
 from urlsheaf.sinks.samples import with_members
 from urlsheaf.sinks.store import Store, store, sweep
@@ -355,3 +356,12 @@ def test_overviews_name_the_file_there_is(spark, folder, tar, compress, suffix):
             assert told["script_inputs"]["max_attempts"] == 3
     log = request_log(outcomes)
     assert log.count() == 20 and log.filter("is_conn_error").count() == 0
+
+
+def test_scratch_is_cleared(spark):
+    rows = materialise(spark.range(5), "kept")
+    path = scratch_path(spark, "x").rsplit("/", 1)[0]
+    assert rows.count() == 5 and any(n.startswith("kept-") for n in os.listdir(path))
+    clear_scratch(spark)
+    assert not os.path.exists(path)
+    assert materialise(spark.range(5), "kept").count() == 5

@@ -27,8 +27,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unused path below the checkpoint folder."""
-    return f"{checkpoint_root(spark)}/urlsheaf/{name}-{uuid.uuid4().hex}"
+    """A fresh, unused path below the application's own part of the checkpoint folder."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/urlsheaf/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application, also those of jobs that failed.
+
+    Frames that operators returned read them, so write what is still needed before.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
