@@ -171,7 +171,8 @@ def format_conversations(
     rows = rows.select(F.struct("conv_id", "turn", *hashes).alias("key"), "role", "text")
     placed = placed_turns(rows, scratch, tokens)
     assigned = windowed_turns(placed, scratch, budget, history)
-    texts = rows.groupBy("key").agg(F.first("role").alias("role"), F.first("text").alias("text"))
+    first = [F.first("role").alias("role"), F.first("text").alias("text")]
+    texts = rows.groupBy("key").agg(*first)
     said = assigned.join(texts, "key").select(
         "conv",
         "window",
@@ -190,7 +191,7 @@ def format_conversations(
     )
     # the system turn is handed to the later windows; a conversation with many windows is split by AQE
     opening = placed.where("before = 0 AND system").select("conv", "key")
-    opening = opening.join(texts, "key").select(
+    opening = opening.join(rows.where("role = 'system'").groupBy("key").agg(*first), "key").select(
         "conv",
         F.array(
             F.struct(
