@@ -170,6 +170,18 @@ def test_probe_over_http_and_table_agree(spark, folder):
         ]
 
 
+def test_recorded_answers_are_not_read_for_every_few_batches(spark, folder, monkeypatch):
+    df = docs(spark, folder, [f"http://e/{i}.jpg" for i in range(200)])
+    table = TableTransport(df.filter("url < 'http://e/2'").withColumn("status", F.lit(200)))
+    waves, once = [], probe._probe
+    monkeypatch.setattr(probe, "_probe", lambda *a: waves.append(1) or once(*a))
+    got = probe.probe_extensions(df, "url", table, batch_size=1)
+    assert (len(waves), got.count(), got.filter("status = 'unchanged'").count()) == (1, 200, 112)
+    waves.clear()
+    probe.probe_extensions(df, "url", table, batch_size=1, batches_per_wave=100)
+    assert len(waves) == 2
+
+
 def test_probe_resumes(spark, folder):
     df = docs(spark, folder, [f"http://e/{i}.jpg" for i in range(10)])
     nothing = TableTransport(spark.createDataFrame([], "url string, status int"))

@@ -72,9 +72,10 @@ def probe_extensions(
     """Probe result per row; resumable with a ``checkpoint`` folder.
 
     Batches are probed in waves of many at a time, and each wave is committed
-    as a whole.  A batch with fewer results than rows was broken off and is
-    probed anew.  ``idx`` names an existing 0-based index, else the file order
-    gives one.
+    as a whole; a transport whose every wave reads all its answers tells how
+    many rows are worth one.  A batch with fewer results than rows was broken
+    off and is probed anew.  ``idx`` names an existing 0-based index, else the
+    file order gives one.
     """
     require_columns(df, url_col)
     spark = df.sparkSession
@@ -86,7 +87,8 @@ def probe_extensions(
     if facts["last"] is None:
         return _probe(work, transport, exts)
     if batches_per_wave is None:
-        batches_per_wave = max(MIN_BATCHES_PER_WAVE, facts["last"] // MAX_WAVES + 1)
+        least = max(MIN_BATCHES_PER_WAVE, -(-transport.rows_per_wave // batch_size))
+        batches_per_wave = max(least, facts["last"] // MAX_WAVES + 1)
     whole = batch_sizes(spark, target).withColumnRenamed("n_rows", "_found")
     due = sizes.join(whole, "batch_idx", "left").filter(F.coalesce("_found", F.lit(-1)) != F.col("n_rows"))
     low = F.col("batch_idx") - F.col("batch_idx") % batches_per_wave
