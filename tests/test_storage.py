@@ -15,6 +15,7 @@ from urlsheaf.operators import fetch as fetching
 from urlsheaf.operators import report
 from urlsheaf.operators.requests import plan_requests
 from urlsheaf.operators.transport import TableTransport
+from urlsheaf.plans.catalogue.reports import _write_long_logs
 from urlsheaf.plans.collect import Job, collect_dataset
 from urlsheaf.sinks import partitions, samples
 from urlsheaf.sinks.reports import overview_documents, write_overview, write_report
@@ -319,6 +320,33 @@ def test_performance_log(spark, folder):
     assert [(r["tasks_completed"], r["peak_workers"], r["bytes_received"]) for r in both] == [(8, 9, 1099511627776), (2, 4, 7)]
 
 
+def test_a_long_log_is_sorted_by_many_tasks_into_one_file(spark, folder):
+    rows = spark.range(300, numPartitions=5).select(
+        F.when(F.col("id") % 100 > 0, F.lit(0)).alias("run"), ((F.col("id") * 7) % 300).alias("at")
+    )
+    lines = rows.withColumn("value", F.col("at").cast("string"))
+    tasks = []
+    persist = type(lines).persist
+
+    def seen(df, level):
+        tasks.append(df.rdd.getNumPartitions())
+        return persist(df, level)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(lines), "persist", seen)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            _write_long_logs(lines, [0, None], f"{folder}/out")
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks[0] > 1
+    for name, n in (("0", 297), ("__HIVE_DEFAULT_PARTITION__", 3)):
+        (file,) = glob.glob(f"{folder}/out/run={name}/*.txt")
+        with open(file) as f:
+            got = [int(line) for line in f]
+        assert len(got) == n and got == sorted(got)
+
+
 def test_golden_run_report(spark, folder):
     performance = spark.createDataFrame([("f", 0, 8_382_580_000, 20, 400, 0, 4_749_890_232_156)], "file string, a long, b long, w long, d long, x long, r long")
     log = performance.select(

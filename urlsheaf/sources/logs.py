@@ -47,7 +47,8 @@ def read_performance_log(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"missing required column(s) {missing['m']} in performance log")
     fields = F.split(F.trim("value"), r"\s+")
     below = lines.join(headers, "file").filter((F.col("value") != F.col("header")) & (F.trim("value") != ""))
-    bare = headers.join(below.select("file"), "file", "left_anti").select("file").first()
+    # a file may hold most of the lines: only its name is joined
+    bare = headers.join(below.select("file").distinct(), "file", "left_anti").select("file").first()
     if bare:
         raise ValueError(f"performance log without a line below its header: {bare['file']}")
     return below.select(
