@@ -320,6 +320,19 @@ def test_performance_log(spark, folder):
     assert [(r["tasks_completed"], r["peak_workers"], r["bytes_received"]) for r in both] == [(8, 9, 1099511627776), (2, 4, 7)]
 
 
+def test_performance_logs_are_opened_once(spark, folder):
+    for k in range(3):
+        with open(f"{folder}/log{k}", "w") as f:
+            f.write(LOG)
+    got = read_performance_log(spark, f"{folder}/log*")
+    assert not [f for f in got.inputFiles() if "/log" in f]
+    assert {r[0].rsplit("/", 1)[1] for r in got.select("file").distinct().collect()} == {"log0", "log1", "log2"}
+    with open(f"{folder}/log3", "w") as f:
+        f.write(LOG.splitlines()[0] + "\n\n")
+    with pytest.raises(ValueError, match="without a line below its header: .*log3"):
+        read_performance_log(spark, f"{folder}/log*")
+
+
 def test_a_long_log_is_sorted_by_many_tasks_into_one_file(spark, folder):
     rows = spark.range(300, numPartitions=5).select(
         F.when(F.col("id") % 100 > 0, F.lit(0)).alias("run"), ((F.col("id") * 7) % 300).alias("at")

@@ -33,7 +33,8 @@ def read_performance_log(spark: SparkSession, path: str) -> DataFrame:
     log without a required column, or without a line below its header, is
     rejected.
     """
-    lines = _lines(spark, [path])
+    # there may be a file for every few lines: each is opened once
+    lines = materialise(_lines(spark, [path]), "lines")
     starts = lines.filter(F.col("line_no.block") == 0)
     headers = starts.groupBy("file").agg(F.min_by("value", "line_no").alias("header"))
     names = F.split(F.regexp_replace("header", r"^[#\s]+|\s+$", ""), r"\s+")
