@@ -133,6 +133,30 @@ def test_encoder_equals_tokenizer(text):
     assert np.frombuffer(packing._encoder(path).ids(text), "<u4").tolist() == want
 
 
+def test_encoder_keeps_words_that_recur(monkeypatch):
+    """A worker holds few of the words that come once or are long, and no more than two generations of the others."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = packing.Encoder(path)
+    plain = encoder.tokenizer
+
+    def held(ids):
+        return {**ids.before, **ids}
+
+    def check(text):
+        want = [*plain.encode(text, add_special_tokens=False).ids, packing.END]
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == want
+
+    once = [f"{random.Random(k).randrange(1 << 40):x}" for k in range(2_000)]
+    check(" ".join(once))
+    assert len(held(encoder.words)) < 50 and len(held(encoder.parts)) < 1_000
+    long = "ab1" * 100
+    check(" ".join(["the The model's", long] * 3))
+    assert {"the", "The", "model's"} <= held(encoder.words).keys() and long not in held(encoder.words)
+    monkeypatch.setattr(packing, "CACHE", 100)
+    check(" ".join(once + once))
+    assert len(held(encoder.words)) <= 200 and len(held(encoder.parts)) <= 200
+
+
 def check_packing(got, rows, capacity):
     encoder = packing._encoder(queries.vocabulary())
     want = Counter()

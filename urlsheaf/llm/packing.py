@@ -35,7 +35,11 @@ FAN_IN = 8
 PROGRESS = 0.02
 #: Words, and parts of words, that a generation of a worker's cache holds.  The one before it is kept as well, so words
 #: that recur stay, and no text makes it forget them all.
-CACHE = 400_000
+CACHE = 200_000
+#: Longest word, in characters, that is kept, so that the cache is bounded in bytes as well.
+LONGEST = 64
+#: Places of a generation's marks of words that came once, a byte each.
+MARKS = 1 << 20
 #: Characters of a text that are split into words at a time.
 STRETCH = 1 << 20
 
@@ -53,18 +57,30 @@ _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
 class _Ids(dict):
-    """Word or part of a word: its ids as little-endian 32-bit numbers."""
+    """Word or part of a word: its ids as little-endian 32-bit numbers.
+
+    Most different words come once and never again: a word is kept from the second time on.  A mark may be another
+    word's, so some are kept the first time.
+    """
 
     def __init__(self, make: Callable[[str], bytes]) -> None:
         super().__init__()
         self.make = make
         self.before: dict[str, bytes] = {}
+        self.once = bytearray(MARKS)
 
     def __missing__(self, word: str) -> bytes:
+        made = self.before.get(word)
+        if made is None:
+            made, mark = self.make(word), hash(word) % MARKS
+            if len(word) > LONGEST or not self.once[mark]:
+                self.once[mark] = 1
+                return made
         if len(self) >= CACHE:
             self.before = dict(self)
             self.clear()
-        made = self[word] = self.before.get(word) or self.make(word)
+            self.once = bytearray(MARKS)
+        self[word] = made
         return made
 
 
@@ -99,8 +115,8 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         if word.isascii():
-            if word.isalpha():
-                return self.parts[word.lower()]
+            if word.isalpha():  # both caches hold one string where they can
+                return self.parts[word if word.islower() else word.lower()]
             if word[:-1].isalpha():  # a letter or sign that ends it is a part of its own
                 return self.parts[word[:-1].lower()] + self.parts[word[-1]]
         if not _PLAIN.fullmatch(word):
