@@ -1045,6 +1045,55 @@ def test_pipeline_keeps_one_near_copy(spark, docs, rows):
         assert Counter(r.doc_id for r in got.collect()) == Counter(d for d, _ in made if d is None or d in want)
 
 
+@pytest.mark.parametrize("size", [120, 240])
+def test_near_copies_of_a_hot_passage(spark, monkeypatch, size):
+    """Texts that share a passage and are not similar: what is written grows with the texts, not with their pairs."""
+    random.seed(size)
+    words = ["".join(random.choices("abcdefghij", k=6)) for _ in range(2000)]
+    base = random.choices(words, k=200)
+    made = []
+    for k in range(size):
+        copy = list(base)
+        for _ in range(2 + k % 6):
+            copy[random.randrange(200)] = f"w{random.randrange(40)}"
+        made.append((k, " ".join(copy)))
+    written, keep = {}, common.Scratch.keep
+
+    def counted(self, df, name, by=None):
+        kept = keep(self, df, name, by)
+        written[name] = kept.count()
+        return kept
+
+    monkeypatch.setattr(common.Scratch, "keep", counted)
+    got = nearcopies.similar_groups(frame(spark, made)).collect()
+    assert ordered(map(tuple, got)) == ordered(plain_similar(made))
+    assert 50 < len({r.component_id for r in got}) < size
+    assert all(n <= 40 * size for n in written.values()), written
+
+
+def test_shared_shingles():
+    rng = np.random.default_rng(3)
+    sets = [np.sort(rng.choice(9000, rng.integers(1, 6000), replace=False)) for _ in range(9)] + [np.array([9001])]
+    got = nearcopies.shared_shingles(np.concatenate(sets), np.array([s.size for s in sets]))
+    for i, j in itertools.permutations(range(len(sets)), 2):
+        assert got[i, j] == np.intersect1d(sets[i], sets[j]).size
+
+
+def test_rarest_shingles_of_similar_sets_meet():
+    """Whatever the frequencies are."""
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        both = np.unique(rng.integers(0, 1 << 62, rng.integers(4, 120), dtype=np.uint64))
+        gone = rng.integers(0, both.size // 5 + 1)
+        cut = rng.integers(0, gone + 1)
+        a, b = both[cut:], both[: both.size - (gone - cut)]
+        places = np.unique(rng.choice(both, both.size // 2) % np.uint64(nearcopies.PLACES)).astype(np.int64)
+        frequent = np.stack([places, rng.integers(16, 99, places.size)], axis=1)
+        if np.intersect1d(a, b).size / both.size >= 0.8:
+            assert np.intersect1d(nearcopies.rarest(a, frequent, 0.8), nearcopies.rarest(b, frequent, 0.8)).size
+    assert nearcopies.rarest(np.empty(0, np.uint64), np.empty((0, 2), np.int32), 0.8).size == 0
+
+
 def test_near_copies_nothing(nothing):
     assert nearcopies.similar_groups(nothing).count() == 0
     assert nearcopies.keep_one_similar(nothing).count() == 0
