@@ -1094,6 +1094,17 @@ def test_rarest_shingles_of_similar_sets_meet():
     assert nearcopies.rarest(np.empty(0, np.uint64), np.empty((0, 2), np.int32), 0.8).size == 0
 
 
+def test_every_text_counts_for_frequency(spark, rows):
+    """However many there are, and however often a shingle comes."""
+    want = Counter()
+    for _, text in rows:
+        want.update((nearcopies.shingle_set(text or "") % np.uint64(nearcopies.PLACES)).tolist())
+    got = nearcopies.frequent_places(frame(spark, rows).repartition(5))
+    assert got.tolist() == [list(x) for x in sorted(want.items())]
+    many = spark.range(25_000).select(F.col("id").alias("doc_id"), F.lit("the same five words here").alias("text"))
+    assert nearcopies.frequent_places(many)[:, 1].tolist() == [25_000]
+
+
 def test_near_copies_nothing(nothing):
     assert nearcopies.similar_groups(nothing).count() == 0
     assert nearcopies.keep_one_similar(nothing).count() == 0
