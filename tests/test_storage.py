@@ -1,6 +1,7 @@
 """Readers and writers."""
 
 import glob
+import gzip
 import io
 import json
 import os
@@ -18,7 +19,9 @@ from urlsheaf.operators.transport import TableTransport
 from urlsheaf.plans.catalogue.reports import _write_long_logs
 from urlsheaf.plans.collect import Job, collect_dataset
 from urlsheaf.sinks import partitions, samples
+from urlsheaf.sinks.logs import write_logs
 from urlsheaf.sinks.reports import overview_documents, write_overview, write_report
+from urlsheaf.sources import logs
 from urlsheaf.sources.archives import archive_members, read_members
 from urlsheaf.sources.listing import list_outputs
 from urlsheaf.sources.logs import read_performance_log
@@ -333,6 +336,57 @@ def test_performance_logs_are_opened_once(spark, folder):
         read_performance_log(spark, f"{folder}/log*")
 
 
+def test_small_logs_are_read_whole_and_large_ones_by_line(spark, folder, monkeypatch):
+    """With the same rows, whatever ends the lines, and of each file once."""
+    head, other = "# timestamp workers_connected tasks_done tasks_failed bytes_received", "bytes_received timestamp tasks_failed tasks_done workers_connected"
+    bodies = {
+        "a": f"{head}\n1 2 3 4 5\n\n  \n{head}\n6 7 8 9 x\n",
+        "b": f"{other}\r\n1 2 3 4 5\r\n6 7 8\r\n",
+        "c": f"\ufeff{head}\r1 2 3 4 5\r6 7 8 9 10",
+        "d": "",
+        "e": f"{head}\n" + "".join(f"{k} 1 2 3 4\n" for k in range(200)),
+    }
+    for name, body in bodies.items():
+        with open(f"{folder}/log-{name}", "w", newline="", encoding="utf-8") as f:
+            f.write(body)
+    with gzip.open(f"{folder}/log-f.gz", "wt") as f:
+        f.write(bodies["a"])
+    rows = []
+    for size in (4 << 20, 1000, -1):
+        monkeypatch.setattr(logs, "WHOLE", size)
+        kept = {r["file"].rsplit("/", 1)[1] for r in logs._lines(spark, f"{folder}/log*").collect()}
+        assert kept == {4 << 20: {"log-f.gz"}, 1000: {"log-e", "log-f.gz"}, -1: {f"log-{k}" for k in "abce"} | {"log-f.gz"}}[size]
+        # files are told apart as they are listed: the others are not opened
+        small = spark.read.text(f"{folder}/log*", wholetext=True).where(logs._is_small() & (F.col("_metadata.file_size") > 0))
+        assert (small.rdd.getNumPartitions() > 0) == (size > 0)
+        got = logs.read_performance_log(spark, f"{folder}/log*").orderBy("file", "line_no").drop("line_no")
+        rows.append([(r[0].rsplit("/", 1)[1], *r[1:]) for r in got.collect()])
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 2 + 2 + 2 + 200 + 2
+    assert rows[0][:4] == [("log-a", 1, 2, 3, 4, 5), ("log-a", 6, 7, 8, 9, None), ("log-b", 2, 5, 4, 3, 1), ("log-b", 7, None, None, 8, 6)]
+    assert [r[1] for r in rows[0] if r[0] == "log-e"] == list(range(200))
+
+
+def test_logs_are_written_side_by_side(spark, folder):
+    """A file for each key and no folder, in order, however many batches a log comes in."""
+    rows = [(k % 3 if k % 4 else None, k * 7 % 50, str(k) if k % 5 else None) for k in range(50)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        write_logs(spark.createDataFrame(rows, "run long, at long, value string"), "run", "at", f"{folder}/out")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = {}
+    for at, _, names in os.walk(f"{folder}/out"):
+        for name in names:
+            assert os.path.dirname(at) == f"{folder}/out" and name not in found
+            with open(f"{at}/{name}") as f:
+                found[name] = f.read()
+    want = {}
+    for run, _, value in sorted(rows, key=lambda r: r[1]):
+        name = f"run={'__HIVE_DEFAULT_PARTITION__' if run is None else run}"
+        want[name] = want.get(name, "") + f"{value or ''}\n"
+    assert found == want
+
+
 def test_a_long_log_is_sorted_by_many_tasks_into_one_file(spark, folder):
     rows = spark.range(300, numPartitions=5).select(
         F.when(F.col("id") % 100 > 0, F.lit(0)).alias("run"), ((F.col("id") * 7) % 300).alias("at")

@@ -9,6 +9,7 @@ from urlsheaf.operators import outcomes, report
 from urlsheaf.plans.catalogue.inputs import OUTCOMES, outcome_rows, table
 from urlsheaf.plans.catalogue.registry import query
 from urlsheaf.session import materialise, scratch_path
+from urlsheaf.sinks.logs import write_logs
 from urlsheaf.sinks.reports import overview_documents, write_overview, write_report
 from urlsheaf.sources.logs import read_performance_log
 from urlsheaf.sources.overviews import OVERVIEW, overview_columns, read_overviews
@@ -194,10 +195,9 @@ def _(spark, sf):
     rows = events.select("user_id", stamp.alias("at"), value.alias("value"))
     heads = events.select("user_id").distinct().select("user_id", F.lit(-1).cast("long").alias("at"), title.alias("value"))
     out = scratch_path(spark, "layouts")
-    laid = rows.unionByName(heads).repartition("user_id").sortWithinPartitions("user_id", "at")
-    laid.select("user_id", "value").write.partitionBy("user_id").text(out)
+    write_logs(rows.unionByName(heads), "user_id", "at", out)
     run = F.regexp_extract("file", r"user_id=(\d+)", 1).cast("long").alias("run")
-    return read_performance_log(spark, f"{out}/user_id=*").withColumn("run", run).drop("file", "line_no")
+    return read_performance_log(spark, f"{out}/*").withColumn("run", run).drop("file", "line_no")
 
 
 _PERF_SUMS = """sums AS (
