@@ -1101,6 +1101,7 @@ def test_every_text_counts_for_frequency(spark, rows):
         want.update((nearcopies.shingle_set(text or "") % np.uint64(nearcopies.PLACES)).tolist())
     got = nearcopies.frequent_places(frame(spark, rows).repartition(5))
     assert got.tolist() == [list(x) for x in sorted(want.items())]
+    assert got[:, 0].flags.c_contiguous  # or each lookup copies it
     many = spark.range(25_000).select(F.col("id").alias("doc_id"), F.lit("the same five words here").alias("text"))
     assert nearcopies.frequent_places(many)[:, 1].tolist() == [25_000]
 
